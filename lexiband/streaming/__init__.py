@@ -1,0 +1 @@
+"""Empty on purpose: every input is read as a batch, there is no stream to process."""
