@@ -1,0 +1,39 @@
+"""Every registered query against its SQL on the given tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables are not there")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_its_sql():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+
+
+@pytest.mark.parametrize("name", entry_point.queries())
+def test_query(spark, duck, name):
+    result = entry_point.queries()[name](spark, SF_DIR)
+    relation = duck.execute(entry_point.oracle_sql()[name])
+    columns = [column[0] for column in relation.description]
+    assert sorted(result.columns) == sorted(columns)
+    got, want = result.select(*columns).collect(), relation.fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_entry(spark):
+    result = entry_point.entry(spark)
+    assert result.columns == ["rank", "word", "category", "frequency"]
+    assert result.count() > 0

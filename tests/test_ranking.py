@@ -1,0 +1,75 @@
+"""The distributed rank against a window over everything."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lexiband.operators.ranking import by_frequency, with_rank
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """Keep all sort partitions, however small."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def vocabulary(spark, rows, partitions):
+    """Nine tenths of the words occur once and share a long prefix."""
+    return spark.range(0, rows, 1, partitions).select(
+        F.concat(F.lit("aaaaaaaa"), F.lower(F.translate(F.hex("id"), "0123456789", "ghijklmnop"))).alias("word"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 97 + 1).otherwise(1).alias("frequency"),
+    )
+
+
+def brute_force(df):
+    order = Window.orderBy(*by_frequency("word"))
+    return df.select(
+        "word",
+        "frequency",
+        F.row_number().over(order).cast("bigint").alias("rank"),
+        F.count("*").over(Window.partitionBy()).alias("n"),
+    )
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_rank_equals_a_global_row_number(spark, uncoalesced, partitions):
+    df = vocabulary(spark, 20_000, partitions)
+    got = with_rank(df, by_frequency("word"))
+    assert got.columns == ["word", "frequency", "rank", "n"]
+    assert sorted(got.collect()) == sorted(brute_force(df).collect())
+
+
+def test_one_frequency_and_one_prefix_spread_over_all_partitions(spark, uncoalesced):
+    ranked = with_rank(vocabulary(spark, 80_000, 8), by_frequency("word"))
+    sizes = [row["count"] for row in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 3 * min(sizes)
+
+
+def test_rows_stay_in_rank_order(spark, uncoalesced):
+    ranked = with_rank(vocabulary(spark, 20_000, 8), by_frequency("word"))
+    assert [row.rank for row in ranked.collect()] == list(range(1, 20_001))
+
+
+def test_unranked_rows_come_last_and_do_not_count(spark, uncoalesced):
+    df = vocabulary(spark, 5_000, 4).withColumn("keep", ~F.col("word").endswith("g"))
+    ranked = with_rank(df, by_frequency("word"), ranked=F.col("keep"))
+    kept = ranked.where("keep").select("word", "frequency", "rank", "n")
+    assert sorted(kept.collect()) == sorted(brute_force(df.where("keep")).collect())
+    left_out = ranked.where("not keep")
+    assert left_out.count() == df.where("not keep").count()
+    assert left_out.where("rank is not null").count() == 0
+
+
+def test_no_rows(spark):
+    assert with_rank(vocabulary(spark, 0, 2), by_frequency("word")).collect() == []
+
+
+def test_no_task_sees_the_whole_vocabulary(spark):
+    """The only single-partition exchange of the plan is that of the partition sizes."""
+    ranked = with_rank(vocabulary(spark, 1_000, 4), by_frequency("word"))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -1,0 +1,22 @@
+"""The shared folder."""
+
+from urllib.parse import urlparse
+
+from lexiband.session import new_shared_path, use_shared_folder
+
+
+def test_folder_named_by_the_session_is_used(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    folder = urlparse(use_shared_folder(spark)).path
+    assert folder.startswith(named + "/")
+    assert urlparse(use_shared_folder(spark)).path == folder
+
+
+def test_folder_named_by_the_session_wins_over_another(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert urlparse(use_shared_folder(spark)).path.startswith(named + "/")
+
+
+def test_paths_are_new(spark):
+    assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
