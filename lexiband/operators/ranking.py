@@ -17,28 +17,40 @@ def by_frequency(token: str) -> list[Column]:
     return [F.desc("frequency"), F.asc(token)]
 
 
-def with_rank(df: DataFrame, order: list[Column], ranked: Column | None = None) -> DataFrame:
-    """Add `rank` and the number of ranked rows `n`, without bringing the rows together.
+def with_rank(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add `rank` and the number of rows `n`, without bringing the rows together.
 
-    The rows are range-partitioned and sorted once. The row's place in its partition plus
-    the sizes of the partitions before it is its rank. `order` has to be total. Distinct
-    sort keys are also what lets the range partitioning cut any run of equal frequencies,
-    however large its share of the vocabulary.
+    The rows are range-partitioned and sorted once. A row's place in its partition plus
+    the sizes of the partitions before it is its rank. Rows stay in rank order across
+    the partitions of the result.
+    """
+    return numbered(in_order(df, order))
+
+
+def in_order(df: DataFrame, order: list[Column], ranked: Column | None = None) -> DataFrame:
+    """Sort `df` and keep the sorted partitions, for `numbered`. Starts jobs.
+
+    `order` has to be total. With distinct sort keys the range partitioning can also cut
+    a long run of one frequency, whatever its share of the vocabulary.
 
     Partition bounds come from a sample, so two evaluations of the sort may cut
     differently. The checkpoint fixes one, and is also where a lost executor's work
-    is read from again. Rows of the result stay in rank order across partitions.
+    is read from again.
 
-    Rows for which `ranked` is false come last, with a null rank, and are not in `n`.
+    Rows for which `ranked` is false are put last and get no rank.
     """
     use_shared_folder(df.sparkSession)
-    ranked = F.lit(True) if ranked is None else ranked
-    placed = (
-        df.withColumn("_ranked", ranked)
+    return (
+        df.withColumn("_ranked", F.lit(True) if ranked is None else ranked)
         .orderBy(F.desc("_ranked"), *order)
         .withColumn("_id", F.monotonically_increasing_id())
         .checkpoint()
     )
+
+
+def numbered(placed: DataFrame) -> DataFrame:
+    """Add `rank` and the number of ranked rows `n` to what `in_order` kept."""
+    kept = [name for name in placed.columns if name not in ("_ranked", "_id")]
     placed = placed.select(
         "*",
         F.shiftright("_id", ROW_BITS).alias("_part"),
@@ -54,7 +66,7 @@ def with_rank(df: DataFrame, order: list[Column], ranked: Column | None = None)
         F.sum("_size").over(Window.partitionBy()).alias("n"),
     )
     rank = F.when(F.col("_ranked"), F.col("_offset") + F.col("_place") + 1)
-    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, rank.alias("rank"), "n")
+    return placed.join(F.broadcast(offsets), "_part").select(*kept, rank.alias("rank"), "n")
 
 
 def with_letter_rank(df: DataFrame, order: list[Column]) -> DataFrame:

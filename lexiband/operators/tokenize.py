@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 from lexiband.functions import tokens as T
 
+# Above this many bytes a text is cut into lines before it is taken apart. The array of its
+# pieces takes many times the room of the text, and is held by one task.
+LONG_TEXT = 1 << 20
+
 
 def line_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Lines of the text, numbered from 0 within each input row."""
@@ -21,7 +25,7 @@ def line_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> Da
 
 def token_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Non-empty pieces between separators, as written."""
-    return df.select(*keep, F.explode(T.pieces(F.col(text))).alias("raw"))
+    return _short_texts(df, text, keep).select(*keep, F.explode(T.pieces(F.col("_text"))).alias("raw"))
 
 
 def word_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -36,7 +40,7 @@ def letter_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) ->
     No separator is a letter, so runs of letters serve as well as pieces. Two explodes
     keep the arrays small: one array of all letters would be many times the text.
     """
-    runs = df.select(*keep, F.explode(T.letter_runs(F.col(text))).alias("run"))
+    runs = _short_texts(df, text, keep).select(*keep, F.explode(T.letter_runs(F.col("_text"))).alias("run"))
     return runs.select(*keep, F.explode(F.split(F.lower("run"), "")).alias("letter"))
 
 
@@ -63,3 +67,10 @@ def counting_tokens(df: DataFrame, text: str = "text") -> DataFrame:
     tagged = token_rows(df, text).select(raw, T.is_word(raw).alias("is_word"))
     token = F.when(F.col("is_word"), F.array(F.lower(raw))).otherwise(T.letters(raw))
     return tagged.select("is_word", F.explode(token).alias("token")).where(F.col("token") != "")
+
+
+def _short_texts(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """Long texts line by line: a line break is a separator, so the tokens stay the same."""
+    whole = F.col(text)
+    parts = F.when(F.octet_length(whole) > LONG_TEXT, F.split(whole, "\n")).otherwise(F.array(whole))
+    return df.select(*keep, F.explode(parts).alias("_text"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiband.operators.bands import banded
 from lexiband.operators.frequency import letters_of_counts, token_counts
-from lexiband.operators.ranking import by_frequency, with_letter_rank, with_rank
+from lexiband.operators.ranking import by_frequency, in_order, numbered, with_letter_rank
 from lexiband.sources.csv import write_bands
 from lexiband.sources.tables import read_lines
 
@@ -19,11 +19,11 @@ LETTERS_OUT = "letters_spark"
 def word_and_letter_bands(df: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Word bands and letter bands that share one reading of the text.
 
-    The ranked token counts are checkpointed by `with_rank`, and both results start from
-    there. They hold the words in rank order, then the letters found outside words.
+    The token counts are kept in order, words first and then the letters found outside
+    words. Both results start from there.
     """
-    tokens = with_rank(token_counts(df, text), by_frequency("token"), ranked=F.col("is_word"))
-    words = tokens.where("is_word").withColumnRenamed("token", "word")
+    tokens = in_order(token_counts(df, text), by_frequency("token"), ranked=F.col("is_word"))
+    words = numbered(tokens).where("is_word").withColumnRenamed("token", "word")
     letters = with_letter_rank(letters_of_counts(tokens), by_frequency("letter"))
     return banded(words, "word"), banded(letters, "letter")
 

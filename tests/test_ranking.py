@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexiband.operators.ranking import by_frequency, with_rank
+from lexiband.operators.ranking import by_frequency, in_order, numbered, with_rank
 
 
 @pytest.fixture
@@ -55,7 +55,7 @@ def test_rows_stay_in_rank_order(spark, uncoalesced):
 
 def test_unranked_rows_come_last_and_do_not_count(spark, uncoalesced):
     df = vocabulary(spark, 5_000, 4).withColumn("keep", ~F.col("word").endswith("g"))
-    ranked = with_rank(df, by_frequency("word"), ranked=F.col("keep"))
+    ranked = numbered(in_order(df, by_frequency("word"), ranked=F.col("keep")))
     kept = ranked.where("keep").select("word", "frequency", "rank", "n")
     assert sorted(kept.collect()) == sorted(brute_force(df.where("keep")).collect())
     left_out = ranked.where("not keep")

@@ -90,6 +90,17 @@ def test_documents_and_their_lines_count_the_same(texts):
     assert sorted(whole) == sorted(frequency.token_counts(lines, "line").collect())
 
 
+def test_long_texts_are_cut_without_loss(texts, monkeypatch):
+    text = "Aa 1b\n\n" * 50 + "c-d\r\ne's\n" + "x" * 40
+    monkeypatch.setattr(tokenize, "LONG_TEXT", 100)
+    df = texts(text, "short text\nof two lines")
+    words = Counter(model.words(text + "\nshort text\nof two lines"))
+    assert dict(frequency.word_frequency(df).collect()) == words
+    assert [row.raw for row in tokenize.token_rows(df).collect()][-5:] == ["short", "text", "of", "two", "lines"]
+    letters = Counter(model.letters(text + "short text of two lines"))
+    assert dict(frequency.letter_frequency(df).collect()) == letters
+
+
 def test_pieces_outside_words_shrink_to_letters(texts):
     counts = frequency.token_counts(texts(*(f"id{i}x http://h/{i}" for i in range(500))))
     assert sorted(row.token for row in counts.where("not is_word").collect()) == ["d", "h", "i", "x"]
