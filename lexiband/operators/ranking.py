@@ -40,12 +40,12 @@ def in_order(df: DataFrame, order: list[Column], ranked: Column | None = None) -
     Rows for which `ranked` is false are put last and get no rank.
     """
     use_shared_folder(df.sparkSession)
-    return (
-        df.withColumn("_ranked", F.lit(True) if ranked is None else ranked)
-        .orderBy(F.desc("_ranked"), *order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    df = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).persist()
+    try:
+        ordered = df.orderBy(F.desc("_ranked"), *order)
+        return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    finally:
+        df.unpersist()
 
 
 def numbered(placed: DataFrame) -> DataFrame:
