@@ -33,19 +33,18 @@ def in_order(df: DataFrame, order: list[Column], ranked: Column | None = None) -
     `order` has to be total. With distinct sort keys the range partitioning can also cut
     a long run of one frequency, whatever its share of the vocabulary.
 
-    Partition bounds come from a sample, so two evaluations of the sort may cut
-    differently. The checkpoint fixes one, and is also where a lost executor's work
-    is read from again.
+    Two checkpoints, both the size of the vocabulary and not of the text. A range
+    partitioning reads its input twice, to sample and to sort: the first checkpoint keeps
+    it from adding up the tasks' counts twice. Two evaluations of the sort may be cut
+    differently, as the bounds come from a sample: the second fixes one. What an executor
+    lost is read from them again.
 
     Rows for which `ranked` is false are put last and get no rank.
     """
     use_shared_folder(df.sparkSession)
-    df = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).persist()
-    try:
-        ordered = df.orderBy(F.desc("_ranked"), *order)
-        return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    finally:
-        df.unpersist()
+    counts = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).checkpoint()
+    ordered = counts.orderBy(F.desc("_ranked"), *order)
+    return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
 
 
 def numbered(placed: DataFrame) -> DataFrame:
