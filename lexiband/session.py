@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.speculation": "true",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

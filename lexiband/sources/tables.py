@@ -21,16 +21,21 @@ def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None
 def read_text_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of a parquet table of texts.
 
-    Parquet splits by row group, and a small file may have a single one, so that most of
-    the scan's tasks are empty. Two tasks per core are asked for to be on the safe side.
+    Parquet splits by row group, and a small file may have a single one, so that all but
+    one of the scan's tasks are empty. Spark plans about one task per core for any input
+    below one full split per core, so only twice that number shows a larger input.
     """
     return _spread(spark.read.parquet(path).select(*columns), 2 * spark.sparkContext.defaultParallelism)
 
 
 def _spread(scan: DataFrame, tasks: int) -> DataFrame:
-    """Deal the rows of a scan out to `tasks` tasks if it has fewer.
+    """Deal the rows of a small scan out to `tasks` tasks.
 
-    Tokenising costs far more than moving the text, so idle cores are the larger loss.
-    An input of many splits, which is any large one, is left as it lies.
+    Tokenising costs far more than moving the text, so idle cores are the larger loss. A
+    scan of that many tasks, or of a file for every core, is left as it lies. A table too
+    large to be worth a shuffle has both.
     """
-    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= tasks or len(scan.inputFiles()) >= cores:
+        return scan
+    return scan.repartition(tasks)

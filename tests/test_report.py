@@ -1,5 +1,8 @@
 """The job from text files to CSV."""
 
+import os
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -98,3 +101,19 @@ def test_arguments(monkeypatch, spark, tmp_path):
     cli.main(["-i", str(tmp_path / "in.txt"), "-o", str(tmp_path)])
     assert read_bands(spark, str(tmp_path / "words_spark"), "word").count() == 1
     assert read_bands(spark, str(tmp_path / "letters_spark"), "letter").count() == 4
+
+
+def test_job_in_a_process_of_its_own(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("one two two\n")
+    job = Path(__file__).resolve().parents[1] / "report_job.py"
+    submit = "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 pyspark-shell"
+    subprocess.run(
+        [sys.executable, str(job), "-i", "in.txt"],
+        cwd=tmp_path,
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit},
+        check=True,
+        capture_output=True,
+        timeout=300,
+    )
+    assert csv_lines(tmp_path / "words_spark") == [expected("word", model.bands(["one", "two", "two"]))]
+    assert csv_lines(tmp_path / "letters_spark") == [expected("letter", model.bands("onetwotwo"))]

@@ -1,0 +1,36 @@
+"""Input scans."""
+
+from lexiband.sources.tables import read_lines, read_text_table
+
+
+def test_single_row_group_is_dealt_out_to_all_cores(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(2_000).selectExpr("id", "string(id) AS text").coalesce(1).write.parquet(path)
+    table = read_text_table(spark, path, ["text"])
+    cores = spark.sparkContext.defaultParallelism
+    assert table.columns == ["text"]
+    assert table.rdd.getNumPartitions() == 2 * cores
+    assert sorted(int(row.text) for row in table.collect()) == list(range(2_000))
+
+
+def test_table_with_a_file_for_every_core_is_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "table")
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, 2_000, 1, cores).selectExpr("string(id) AS text").write.parquet(path)
+    plan = read_text_table(spark, path, ["text"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_only_the_text_is_read(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(10).selectExpr("id", "string(id) AS text").write.parquet(path)
+    plan = read_text_table(spark, path, ["text"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<text:string>" in plan
+
+
+def test_lines_of_a_compressed_file(spark, tmp_path):
+    path = str(tmp_path / "text")
+    spark.range(100).selectExpr("string(id)").coalesce(1).write.option("compression", "gzip").text(path)
+    lines = read_lines(spark, path)
+    assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert lines.count() == 100
