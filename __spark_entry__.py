@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiband.operators import bands, frequency, measurements, tokenize
+from lexiband.operators.ranking import by_frequency, with_letter_rank
 from lexiband.plans.report import word_and_letter_bands, write_report
 from lexiband.session import new_shared_path
-from lexiband.sources.csv import read_bands, write_bands
+from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands
 from lexiband.sources.tables import read_text_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +105,8 @@ def page_word_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_letter_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_and_letter_bands(pages(spark, sf_dir), "html")[1]
+    letters = frequency.letters_of_counts(frequency.token_counts(pages(spark, sf_dir), "html"))
+    return bands.banded(with_letter_rank(letters, by_frequency("letter")), "letter")
 
 
 def conversation_word_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +169,19 @@ def measure_csv_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_stats(spark.read.option("header", True).schema(wide.schema).csv(path))
 
 
+def measure_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "measurements")
+    times = execution_columns(len(MEASURES))
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    wide = lineitem.select(
+        F.col("l_linenumber").alias("Workers"), *(F.col(old).alias(new) for old, new in zip(MEASURES, times))
+    )
+    wide.write.option("header", True).option("lineSep", "\r\n").csv(path)
+    long = measurements.unpivot_measures(read_measurements(spark, path), ["Workers"], times)
+    stats = measurements.mean_and_deviation(long, ["Workers"])
+    return stats.withColumns({"mean": F.round("mean", 6), "sd": F.round("sd", 6)})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return word_bands(spark, "/root/testdata/sf0.001")
 
@@ -200,6 +215,7 @@ def queries() -> dict[str, Query]:
         measure_stats,
         measure_pooled_stats,
         measure_csv_stats,
+        measure_file_stats,
     ]
     return {query.__name__: query for query in registered}
 
@@ -319,4 +335,9 @@ def oracle_sql() -> dict[str, str]:
             UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax))
             GROUP BY l_returnflag""",
         "measure_csv_stats": stats,
+        "measure_file_stats": """
+            SELECT l_linenumber AS "Workers", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd
+            FROM (SELECT l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)
+            UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax))
+            GROUP BY l_linenumber""",
     }

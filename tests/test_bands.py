@@ -1,5 +1,7 @@
 """Thresholds and bands."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +53,23 @@ def test_both_from_one_reading_equal_the_single_ones(texts):
     words, letters = word_and_letter_bands(df)
     assert words.orderBy("rank").collect() == word_bands(df).orderBy("rank").collect()
     assert letters.orderBy("rank").collect() == letter_bands(df).orderBy("rank").collect()
+
+
+@pytest.mark.parametrize("vocabulary", [40, 700])
+def test_bands_match_the_model(texts, vocabulary):
+    source = random.Random(vocabulary)
+    pool = ["".join(source.choices("abcDEFé9'", k=source.randint(1, 6))) for _ in range(vocabulary)]
+    rows = [source.choice(" ,-!").join(source.choices(pool, k=60)) for _ in range(30)]
+    words = model.bands([word for row in rows for word in model.words(row)])
+    letters = model.bands([letter for row in rows for letter in model.letters(row)])
+    df = texts(*rows)
+    assert word_bands(df).orderBy("rank").collect() == words
+    assert letter_bands(df).orderBy("rank").collect() == letters
+    both = word_and_letter_bands(df)
+    assert [result.orderBy("rank").collect() for result in both] == [words, letters]
+
+
+def test_neither_result_reads_the_text_again(texts):
+    for bands in word_and_letter_bands(texts("one two", "three")):
+        plan = bands._jdf.queryExecution().executedPlan().toString()
+        assert "regexp_extract_all" not in plan and "ExistingRDD" in plan
