@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiband.operators import bands, frequency, measurements, tokenize
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from lexiband.operators import bands, frequency, measurements, tokenize  # noqa: E402
 from lexiband.operators.ranking import by_frequency, with_letter_rank
 from lexiband.plans.report import word_and_letter_bands, write_report
 from lexiband.session import new_shared_path

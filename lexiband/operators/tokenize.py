@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from lexiband.functions import tokens as T
 
-# Above this many bytes a text is cut into lines before it is taken apart. The array of its
-# pieces takes many times the room of the text, and is held by one task.
+# Above this many bytes a text is cut into lines and sentences before it is taken apart. The
+# array of its pieces takes many times the room of the text, and is held by one task.
 LONG_TEXT = 1 << 20
 
 
@@ -70,7 +70,7 @@ def counting_tokens(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _short_texts(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """Long texts line by line: a line break is a separator, so the tokens stay the same."""
+    """Long texts cut where two separators are, which leaves the tokens the same."""
     whole = F.col(text)
-    parts = F.when(F.octet_length(whole) > LONG_TEXT, F.split(whole, "\n")).otherwise(F.array(whole))
+    parts = F.when(F.octet_length(whole) > LONG_TEXT, F.split(whole, r"[\n.]")).otherwise(F.array(whole))
     return df.select(*keep, F.explode(parts).alias("_text"))

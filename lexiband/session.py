@@ -8,23 +8,29 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-DEFAULTS = {
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.speculation": "true",
     "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Large splits, as a task's distinct words grow far slower than its text: fewer tasks send
+# fewer rows. Spark still makes smaller splits of an input that would leave cores idle.
+SPLIT_SETTING, SPLIT_BYTES = "spark.sql.files.maxPartitionBytes", "512m"
+
 
 def build_session(app_name: str = "lexiband") -> SparkSession:
-    """Session of a job of its own. Settings given to spark-submit win over the defaults."""
-    conf = SparkConf()
-    for key, value in DEFAULTS.items():
-        conf.setIfMissing(key, value)
-    return SparkSession.builder.appName(app_name).config(conf=conf).getOrCreate()
+    """Session of a job of its own. A split size given to spark-submit is kept."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains(SPLIT_SETTING):
+        spark.conf.set(SPLIT_SETTING, SPLIT_BYTES)
+    return spark
 
 
 def use_shared_folder(spark: SparkSession) -> str:

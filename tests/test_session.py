@@ -1,7 +1,14 @@
 """The shared folder."""
 
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 from urllib.parse import urlparse
 
+import pytest
+
 from lexiband.session import new_shared_path, use_shared_folder
 
 
@@ -20,3 +27,28 @@ def test_folder_named_by_the_session_wins_over_another(spark, tmp_path):
 
 def test_paths_are_new(spark):
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
+
+
+PROBE = """
+import json
+from lexiband.session import build_session
+spark = build_session()
+keys = ["spark.sql.files.maxPartitionBytes", "spark.speculation", "spark.sql.adaptive.enabled"]
+print(json.dumps([spark.conf.get(key) for key in keys]))
+spark.stop()
+"""
+
+
+@pytest.mark.parametrize("given, split", [("", "512m"), ("--conf spark.sql.files.maxPartitionBytes=64m", "64m")])
+def test_session_of_a_job(given, split):
+    submit = f"--master local[1] --conf spark.ui.enabled=false {given} pyspark-shell"
+    done = subprocess.run(
+        [sys.executable, "-c", PROBE],
+        cwd=Path(__file__).resolve().parents[1],
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit},
+        check=True,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert json.loads(done.stdout.splitlines()[-1]) == [split, "true", "true"]

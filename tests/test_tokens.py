@@ -91,7 +91,7 @@ def test_documents_and_their_lines_count_the_same(texts):
 
 
 def test_long_texts_are_cut_without_loss(texts, monkeypatch):
-    text = "Aa 1b\n\n" * 50 + "c-d\r\ne's\n" + "x" * 40
+    text = "Aa 1b\n\n" * 50 + "c-d\r\ne's\n.5.Six." + "x" * 40
     monkeypatch.setattr(tokenize, "LONG_TEXT", 100)
     df = texts(text, "short text\nof two lines")
     words = Counter(model.words(text + "\nshort text\nof two lines"))
