@@ -16,7 +16,7 @@ from lexiband.operators.ranking import by_frequency, with_letter_rank
 from lexiband.plans.report import word_and_letter_bands, write_report
 from lexiband.session import new_shared_path
 from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands
-from lexiband.sources.tables import read_text_table
+from lexiband.sources.tables import read_lines, read_text_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,12 @@ def line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.line_rows(documents(spark, sf_dir, "doc_id"), keep=["doc_id"])
 
 
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "texts")
+    documents(spark, sf_dir).write.text(path)
+    return read_lines(spark, path).groupBy("value").agg(F.count("*").alias("n"))
+
+
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.token_rows(documents(spark, sf_dir, "doc_id"), keep=["doc_id"])
 
@@ -64,6 +70,11 @@ def tagged_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("type", "token").agg(F.count("*").alias("frequency"))
 
 
+def tagged_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = tokenize.tagged_tokens(documents(spark, sf_dir)).where("type = 'w'")
+    return words.groupBy("token").agg(F.count("*").alias("frequency"))
+
+
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frequency.word_frequency(documents(spark, sf_dir))
 
@@ -193,11 +204,13 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     registered = [
         line_scan,
+        file_lines,
         token_rows,
         word_rows,
         letter_rows,
         tagged_tokens,
         tagged_token_counts,
+        tagged_words,
         word_frequency,
         letter_frequency,
         distinct_counts,
@@ -287,6 +300,10 @@ def oracle_sql() -> dict[str, str]:
                   FROM (SELECT doc_id, string_split_regex(
                           regexp_replace(text, '(?:\r\n|[\r\n])\z', ''), '\r\n|[\r\n]') AS parts
                         FROM documents WHERE text <> ''))""",
+        "file_lines": r"""
+            SELECT value, count(*) AS n
+            FROM (SELECT unnest(string_split_regex(text, '\r\n|[\r\n]')) AS value FROM documents)
+            GROUP BY value""",
         "token_rows": f"SELECT doc_id, raw FROM {pieces} WHERE raw <> ''",
         "word_rows": f"""
             SELECT doc_id, lower(raw) AS word FROM {pieces}
@@ -303,6 +320,7 @@ def oracle_sql() -> dict[str, str]:
         "tagged_token_counts": _tables() + """
             SELECT 'w' AS type, word AS token, frequency FROM w
             UNION ALL SELECT 'l' AS type, letter AS token, frequency FROM l""",
+        "tagged_words": _tables() + "SELECT word AS token, frequency FROM w",
         "word_frequency": _tables() + "SELECT word, frequency FROM w",
         "letter_frequency": _tables() + "SELECT letter, frequency FROM l",
         "distinct_counts": _tables() + """

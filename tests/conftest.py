@@ -8,7 +8,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def local_dir(tmp_path_factory):
+    """Folder of the executor's own files, such as shuffle files."""
+    return tmp_path_factory.mktemp("local")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory, local_dir):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -16,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.local.dir", str(local_dir))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -73,3 +73,15 @@ def test_no_task_sees_the_whole_vocabulary(spark):
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange SinglePartition") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_ranking_outlives_the_executor_files(spark, uncoalesced, local_dir):
+    """What in_order kept can be read after every shuffle file behind it is gone."""
+    df = vocabulary(spark, 20_000, 8)
+    want = sorted(brute_force(df).collect())
+    placed = in_order(df, by_frequency("word"))
+    shuffle_files = [path for path in local_dir.rglob("shuffle_*") if path.is_file()]
+    assert shuffle_files
+    for path in shuffle_files:
+        path.unlink()
+    assert sorted(numbered(placed).collect()) == want
