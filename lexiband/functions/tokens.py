@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What separates two pieces of a line, what a word and a letter are.
-SEPARATORS = r'\s,.;:?!"()\[\]{}!_-'
+# White space is spelled out: as single characters the class is one table look-up.
+SEPARATORS = r' \t\n\x0B\f\r,.;:?!"()\[\]{}_-'
 WORD = "[a-zA-Z]+"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 LINE_BREAK = r"\r\n|[\r\n]"

@@ -55,8 +55,8 @@ def numbered(placed: DataFrame) -> DataFrame:
         F.shiftright("_id", ROW_BITS).alias("_part"),
         F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_place"),
     )
-    # One row per partition of the sort, so at most spark.sql.shuffle.partitions rows:
-    # small enough for a window in one task and for a broadcast at any input size.
+    # One row per partition of the sort, so at most spark.sql.shuffle.partitions rows, which
+    # does not grow with the input: small enough for a window in one task and a broadcast.
     sizes = placed.groupBy("_part").agg(F.count_if("_ranked").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
