@@ -5,6 +5,7 @@ import os
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 from urllib.parse import urlparse
 
 import pytest
@@ -25,6 +26,13 @@ def test_folder_named_by_the_session_wins_over_another(spark, tmp_path):
     assert urlparse(use_shared_folder(spark)).path.startswith(named + "/")
 
 
+def test_cluster_without_a_named_folder_is_an_error():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        use_shared_folder(session)
+
+
 def test_paths_are_new(spark):
     assert new_shared_path(spark, "x") != new_shared_path(spark, "x")
 
