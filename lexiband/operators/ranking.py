@@ -42,8 +42,8 @@ def in_order(df: DataFrame, order: list[Column], ranked: Column | None = None) -
     Rows for which `ranked` is false are put last and get no rank.
     """
     use_shared_folder(df.sparkSession)
-    counts = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).checkpoint()
-    ordered = counts.orderBy(F.desc("_ranked"), *order)
+    unsorted = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).checkpoint()
+    ordered = unsorted.orderBy(F.desc("_ranked"), *order)
     return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
 
 
