@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -18,6 +19,17 @@ from lexiband.session import new_shared_path
 from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands
 from lexiband.sources.tables import read_lines, read_text_table
 
+# The operators for training text are added if they are there.
+llm_queries, llm_sql = [], {}
+if importlib.util.find_spec("lexiband.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import pipeline
+    from lexiband.llm.queries import ORACLE_SQL as LLM_SQL
+    from lexiband.llm.queries import QUERIES as LLM_QUERIES
+
+    llm_queries = [*LLM_QUERIES, pipeline]
+    llm_sql = {**LLM_SQL, **({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Stand-in for a table of repeated measurements: `lineitem`.
@@ -234,7 +246,7 @@ def queries() -> dict[str, Query]:
         measure_csv_stats,
         measure_file_stats,
     ]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in [*registered, *llm_queries]}
 
 
 def _tables(table: str = "documents", text: str = "text") -> str:
@@ -362,4 +374,5 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)
             UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax))
             GROUP BY l_linenumber""",
+        **llm_sql,
     }
