@@ -67,10 +67,12 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What copies of one text have in common, so that they stay together where they can.
+    bytes_a_char = F.octet_length(F.col("text")) / F.greatest(F.char_length(F.col("text")), F.lit(1))
     dims = {
-        "size": sharding.quantity(F.col("n_chars")),
+        "chars": sharding.quantity(F.char_length(F.col("text"))),
         "lang": sharding.ordinal(F.col("lang")),
-        "source": sharding.ordinal(F.col("source")),
+        "script": sharding.quantity(bytes_a_char),
     }
     dealt = sharding.shards(_table(spark, sf_dir, "documents"), dims, SHARDS)
     return dealt.select(
