@@ -10,9 +10,9 @@ toxic text by their document frequencies, the ordinary one with the words that m
 text, as many of them.
 
 Document frequencies count all learning rows, in Spark. What reaches the driver is bounded:
-COMMON + MARKING words, and the distances of at most SAMPLE learning rows a label, the ones
-with the smallest hash, from which the threshold and the logistic scale are fitted. The
-score is 0.3 exactly where the fit separates the labels best.
+COMMON + MARKING words, and the distances of about SAMPLE learning rows a label, chosen by a
+hash, from which the threshold and the logistic scale are fitted. The score is 0.3 exactly
+where the fit separates the labels best.
 
 Defined results: a null or empty text has no window, distance 0 and the score of that. Rows
 without a label, or with a null one, don't teach. A row that occurs twice is scored twice.
@@ -150,15 +150,14 @@ def train(rows: DataFrame) -> Model:
     ordinary = top(plain, [F.asc("ratio")], max(len(toxic), 1))
     dictionaries = tuple([*ordinary, *common[::-1]]), tuple([*toxic, *common[::-1]])
 
-    by_hash = rows.withColumn("_hash", F.xxhash64("_id", "_text"))
-    sample = None
-    for value in (0, 1):
-        some = by_hash.where(F.col("toxic") == value).orderBy("_hash").limit(SAMPLE).select("_text", "toxic")
-        sample = some if sample is None else sample.unionByName(some)
-    measured = _distances(sample, *dictionaries).toPandas()
-    weight = np.where(measured["toxic"] == 1, n_toxic, n_ordinary) / np.where(
-        measured["toxic"] == 1, min(n_toxic, SAMPLE), min(n_ordinary, SAMPLE)
-    )
+    # About SAMPLE rows a label, by a hash: each task decides on its rows alone.
+    part = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.when(F.col("toxic") == 1, SAMPLE / n_toxic).otherwise(SAMPLE / n_ordinary)
+    measured = _distances(rows.where(part < share).select("_text", "toxic"), *dictionaries).toPandas()
+    marked = measured["toxic"] == 1
+    if marked.all() or not marked.any():
+        return Model((), (), 0.0, 0.0)
+    weight = np.where(marked, n_toxic / marked.sum(), n_ordinary / (~marked).sum())
     return Model(*dictionaries, *_calibrated(measured["feature"].to_numpy(), measured["toxic"].to_numpy(), weight))
 
 
