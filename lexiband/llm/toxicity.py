@@ -9,8 +9,9 @@ holds the words most frequent in ordinary text; the toxic one ends with the word
 toxic text by their document frequencies, the ordinary one with the words that mark ordinary
 text, as many of them.
 
-Document frequencies count all learning rows, in Spark. What reaches the driver is bounded:
-COMMON + MARKING words, and the distances of about SAMPLE learning rows a label, chosen by a
+The rows that teach are about LEARNING labelled rows at most, chosen by a hash of the id, so
+that they can be broadcast to the texts. Spark counts the document frequencies over all of
+their whole texts. What reaches the driver is bounded: COMMON + MARKING words, and the distances of about SAMPLE learning rows a label, chosen by a
 hash, from which the threshold and the logistic scale are fitted. The score is 0.3 exactly
 where the fit separates the labels best.
 
@@ -38,7 +39,7 @@ from lexiband.llm.common import kept, texts_of
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, LEVEL = 16, 1
 COMMON, MARKING, LEAST_DOCS, LEAST_RATIO = 500, 2000, 4, 24.0
-SAMPLE, CUT = 10_000, 0.3
+LEARNING, SAMPLE, CUT = 40_000, 10_000, 0.3
 
 
 def words(text: str) -> list[str]:
@@ -109,12 +110,15 @@ def _distances(docs: DataFrame, ordinary, toxic) -> DataFrame:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, learns: Column, text: str, doc_id: str, label: str) -> DataFrame:
-    """_id, _text, toxic of the labelled rows that teach."""
+    """_id, _text, toxic of the labelled rows that teach, about LEARNING of them at most."""
     rows = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & learns).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("toxic")
     )
-    rows = rows.groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(rows, "_id")
+    rows = kept(rows.groupBy("_id").agg(F.max("toxic").alias("toxic")))
+    share = LEARNING / max(1, rows.count())
+    chosen = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+    # About LEARNING rows of an id and a label: a proven bound, so that no text is moved.
+    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
 
 
 def train(rows: DataFrame) -> Model:
@@ -127,7 +131,6 @@ def train(rows: DataFrame) -> Model:
             flat = [word for some in found for word in some]
             yield pa.RecordBatch.from_arrays([pa.array(flat, pa.string()), pa.array(toxic)], names=["word", "toxic"])
 
-    rows = kept(rows)
     totals = {row["toxic"]: row["n"] for row in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_ordinary = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_ordinary:
