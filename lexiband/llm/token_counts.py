@@ -121,10 +121,12 @@ def section_tokens(
         *([sections.alias("sections")] if sections is not None else []),
     )
 
+    by_lines = sections is None
+
     def counted(batches):
         encode = spans(vocabulary, pattern).characters
         for batch in batches:
-            given = batch.column("sections").to_pylist() if sections is not None else None
+            given = None if by_lines else batch.column("sections").to_pylist()
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), 512):  # a text may have many lines
                 parts = []

@@ -11,13 +11,13 @@ text, as many of them.
 
 The rows that teach are about LEARNING labelled rows at most, chosen by a hash of the id, so
 that they can be broadcast to the texts. Spark counts the document frequencies over all of
-their whole texts. What reaches the driver is bounded: COMMON + MARKING words, and the distances of about SAMPLE learning rows a label, chosen by a
-hash, from which the threshold and the logistic scale are fitted. The score is 0.3 exactly
-where the fit separates the labels best.
+their whole texts. What reaches the driver is bounded: COMMON + MARKING words, and the
+distances of about SAMPLE learning rows a label, chosen by a hash, from which the threshold
+and the logistic scale are fitted. The score is 0.3 exactly where the fit separates best.
 
 Defined results: a null or empty text has no window, distance 0 and the score of that. Rows
 without a label, or with a null one, don't teach. A row that occurs twice is scored twice.
-If either label is missing, every score is 0.
+If a label is missing, or no word marks toxic text, every score is 0.
 """
 
 from __future__ import annotations
@@ -146,11 +146,13 @@ def train(rows: DataFrame) -> Model:
     def top(some: DataFrame, by: list[Column], most: int) -> list[str]:
         return [row["word"] for row in some.orderBy(*by, "word").limit(most).select("word").collect()]
 
-    common = top(counts, [F.desc("o")], COMMON)
     marks = counts.where(f"t >= {LEAST_DOCS} AND ratio >= {LEAST_RATIO}")
     toxic = top(marks, [F.desc("ratio")], MARKING)
+    if not toxic:
+        return Model((), (), 0.0, 0.0)
+    common = top(counts.where(f"ratio < {LEAST_RATIO}"), [F.desc("o")], COMMON)
     plain = counts.where(f"o >= {LEAST_DOCS} AND ratio < 1").where(~F.col("word").isin(common))
-    ordinary = top(plain, [F.asc("ratio")], max(len(toxic), 1))
+    ordinary = top(plain, [F.asc("ratio")], len(toxic))
     dictionaries = tuple([*ordinary, *common[::-1]]), tuple([*toxic, *common[::-1]])
 
     # About SAMPLE rows a label, by a hash: each task decides on its rows alone.

@@ -1,0 +1,66 @@
+import pytest
+
+from lexiband.llm import html
+
+SCHEMA = "page_id BIGINT, url STRING, html STRING, host STRING, text STRING"
+
+
+def text_of(page):
+    return html.Page(page).text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        ("<article><h1>T  t</h1><p><b>a<br>b<p>c &lt;d&gt; &#233;&am</article><footer>f</footer>", "T t\na b\nc <d> é&am"),
+        ("<body><nav>n</nav><div class='ad'>x</div><div><p>one</p>two<p>three</div></body>", "one\ntwo\nthree"),
+        ("<article><p>a<script>var t='</p>';</script>b</p><!-- <p>no</p> --><style>p{}</style></article>", "ab"),
+        ("<article>in<section id=comments><p>reader</p></section>out<form>f</form></article>", "in\nout"),
+        ("<main><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></main><aside>s</aside>", "a\nb\nc\nd"),
+        ("<article><p>load the header</p><p class='lead'>shadow</p></article>", "load the header\nshadow"),
+        ("<p>cut <a href='x", "cut"),
+        ("a < b <3 <!-- open", "a < b <3"),
+        ("<article><p title='a>b'>x</p><div role=navigation>n</div><div hidden>h</div></article>", "x"),
+        ("<div class='cookie-notice'>c</div><div class=sidebar>s</div><p>body</p><div id='footer'>f</div>", "body"),
+        ("</p></div><p>x</article>", "x"),
+    ],
+)
+def test_main_text(page, text):
+    assert text_of(page) == text
+
+
+def test_long_pages():
+    assert text_of("<article>" + "<p>word</p>" * 50_000).count("\n") == 49_999
+    assert text_of("<div>" * 3_000 + "deep") == "deep"
+    assert text_of("<article>" + "x" * 1_000_000 + "</article>") == "x" * 1_000_000
+
+
+def page(i, menu, body):
+    return f"<body><div class='box{i % 2}'>{menu}</div><div><p>{body}</p></div><div><p>tail of all</p></div></body>"
+
+
+def test_what_recurs_on_a_host_goes(spark):
+    rows = [(i, "http://Site.example/a", page(0, "our menu", f"story {i}")) for i in range(10)]
+    rows += [(i, f"http://other{i}.example/", page(0, "our menu", f"story {i}")) for i in range(3)]
+    rows += [(None, None, None), (1, "nonsense", "<p>x</p>"), (1, "nonsense", "<p>x</p>")]
+    docs = spark.createDataFrame([(*r, "h", "t") for r in rows], SCHEMA)
+    found = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in html.main_text(docs).collect()), key=str)
+    want = [(i, u, f"story {i}", 7) for i, u, _ in rows[:10]]
+    whole = "our menu\nstory {}\ntail of all"
+    want += [(i, u, whole.format(i), len(whole.format(i))) for i, u, _ in rows[10:13]]
+    want += [(None, None, "", 0), (1, "nonsense", "x", 1), (1, "nonsense", "x", 1)]
+    assert found == sorted(want, key=str)
+
+
+def test_articles_stay_where_they_recur(spark):
+    rows = [(i, "http://a.example/", "<article><p>the same story</p></article><div>menu</div>", "", "") for i in range(50)]
+    found = html.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.text for r in found} == {"the same story"} and len(found) == 50
+    assert html.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_join_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(html, "BROADCAST_HASHES", 0)
+    test_what_recurs_on_a_host_goes(spark)
