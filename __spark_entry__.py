@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lexiband.operators import bands, frequency, measurements, tokenize  # noqa: E402
 from lexiband.operators.ranking import by_frequency, with_letter_rank
+from lexiband.plans.measurement_report import measurement_report
 from lexiband.plans.report import word_and_letter_bands, write_report
 from lexiband.session import new_shared_path
 from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands
@@ -83,7 +84,7 @@ def tagged_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokenize.tagged_tokens(documents(spark, sf_dir)).where("type = 'w'")
+    words = tokenize.tagged_tokens(documents(spark, sf_dir), tags=["w"])
     return words.groupBy("token").agg(F.count("*").alias("frequency"))
 
 
@@ -172,14 +173,13 @@ def measure_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measurements.unpivot_measures(wide, IDS, MEASURES, "measure", "value")
 
 
-def _rounded_stats(wide: DataFrame) -> DataFrame:
-    long = measurements.unpivot_measures(wide, ["l_returnflag"], MEASURES, "measure", "value")
-    stats = measurements.mean_and_deviation(long, ["l_returnflag", "measure"], "value")
+def _rounded(stats: DataFrame) -> DataFrame:
     return stats.withColumns({"mean": F.round("mean", 6), "sd": F.round("sd", 6)})
 
 
 def measure_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_stats(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", *MEASURES))
+    wide = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", *MEASURES)
+    return _rounded(measurements.mean_and_deviation_of(wide, ["l_returnflag"], MEASURES))
 
 
 def measure_pooled_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,11 +189,32 @@ def measure_pooled_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumns({"mean": F.round("mean", 6), "sd": F.round("sd", 6)})
 
 
-def measure_csv_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_shared_path(spark, "measures")
-    wide = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag", *MEASURES)
-    wide.write.option("header", True).option("lineSep", "\r\n").csv(path)
-    return _rounded_stats(spark.read.option("header", True).schema(wide.schema).csv(path))
+def word_bands_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other bands are written first, to the path that the bands of the words then replace."""
+    path = new_shared_path(spark, "bands")
+    write_bands(bands.word_bands(conversations(spark, sf_dir)), path)
+    write_bands(word_bands(spark, sf_dir), path)
+    return read_bands(spark, path, "word")
+
+
+def measure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over one file for each return flag, keyed by the flag."""
+    path = new_shared_path(spark, "measurements")
+    times = execution_columns(len(MEASURES))
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    wide = lineitem.select(
+        "l_returnflag",
+        F.col("l_linenumber").alias("Workers"),
+        *(F.col(old).alias(new) for old, new in zip(MEASURES, times)),
+    )
+    # A file for each flag, and as many more as there are tasks: the report is per file.
+    one_each = wide.repartition("l_returnflag")
+    flags = ["A", "N", "R"]
+    for flag in flags:
+        rows = one_each.where(F.col("l_returnflag") == flag).drop("l_returnflag").coalesce(1)
+        rows.write.option("header", True).option("lineSep", "\r\n").csv(f"{path}/{flag}")
+    report = measurement_report(spark, [f"{path}/{flag}" for flag in flags], len(MEASURES), key="folder")
+    return _rounded(report)
 
 
 def measure_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,12 +259,13 @@ def queries() -> dict[str, Query]:
         conversation_word_bands,
         word_bands_csv,
         letter_bands_csv,
+        word_bands_replaced,
         report_words,
         report_letters,
         measure_unpivot,
         measure_stats,
         measure_pooled_stats,
-        measure_csv_stats,
+        measure_report,
         measure_file_stats,
     ]
     return {query.__name__: query for query in [*registered, *llm_queries]}
@@ -355,6 +377,7 @@ def oracle_sql() -> dict[str, str]:
         "conversation_word_bands": _bands("word", "conversations"),
         "word_bands_csv": _bands("word"),
         "letter_bands_csv": _bands("letter"),
+        "word_bands_replaced": _bands("word"),
         "report_words": _bands("word"),
         "report_letters": _bands("letter"),
         "measure_unpivot": """
@@ -368,7 +391,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT l_returnflag, l_quantity, l_discount, l_tax FROM lineitem)
             UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax))
             GROUP BY l_returnflag""",
-        "measure_csv_stats": stats,
+        "measure_report": """
+            SELECT l_returnflag AS folder, l_linenumber AS "Workers", round(avg(value), 6) AS mean,
+                   round(stddev_samp(value), 6) AS sd
+            FROM (SELECT l_returnflag, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)
+            UNPIVOT (value FOR measure IN (l_quantity, l_discount, l_tax))
+            GROUP BY l_returnflag, l_linenumber""",
         "measure_file_stats": """
             SELECT l_linenumber AS "Workers", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd
             FROM (SELECT l_linenumber, l_quantity, l_discount, l_tax FROM lineitem)

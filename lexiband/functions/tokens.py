@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 SEPARATORS = r' \t\n\x0B\f\r,.;:?!"()\[\]{}_-'
 WORD = "[a-zA-Z]+"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# Characters of a long text that are taken apart at once.
+BLOCK = 1 << 16
 LINE_BREAK = r"\r\n|[\r\n]"
 
 
@@ -22,6 +24,15 @@ def pieces(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"[^{SEPARATORS}]+"), F.lit(0))
 
 
+def blocks(text: Column) -> Column:
+    """Array of parts of `text` that cut no piece: BLOCK characters and the rest of the last piece.
+
+    The array of a text's pieces takes many times the room of the text and is held by one
+    task; that of a block is small, whatever the text. Most texts are one block.
+    """
+    return F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{BLOCK}}}[^{SEPARATORS}]*+"), F.lit(0))
+
+
 def is_word(piece: Column) -> Column:
     """True if the whole piece is ASCII letters.
 

@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexiband.session import use_shared_folder
+from lexiband.session import kept_files, remove, use_shared_folder
 
 # Layout of monotonically_increasing_id: partition number above, row number below.
 ROW_BITS = 33
 
+# Folders of the rankings that were not released.
+_placed: list[str | None] = []
+
 
 def by_frequency(token: str) -> list[Column]:
     """The rank order: most frequent first, ties by token in binary order."""
@@ -35,16 +38,31 @@ def in_order(df: DataFrame, order: list[Column], ranked: Column | None = None) -
 
     Two checkpoints, both the size of the vocabulary and not of the text. A range
     partitioning reads its input twice, to sample and to sort: the first checkpoint keeps
-    it from adding up the tasks' counts twice. Two evaluations of the sort may be cut
-    differently, as the bounds come from a sample: the second fixes one. What an executor
-    lost is read from them again.
+    it from adding up the tasks' counts twice, and is removed when the second stands. Two
+    evaluations of the sort may be cut differently, as the bounds come from a sample: the
+    second fixes one, and stays until `release`. What an executor lost is read from them again.
 
     Rows for which `ranked` is false are put last and get no rank.
     """
     use_shared_folder(df.sparkSession)
     unsorted = df.withColumn("_ranked", F.lit(True) if ranked is None else ranked).checkpoint()
     ordered = unsorted.orderBy(F.desc("_ranked"), *order)
-    return ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    placed = ordered.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    remove(df.sparkSession, kept_files(unsorted))
+    _placed.append(kept_files(placed))
+    return placed
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete what rankings have kept since the mark that `standing` gave, when their results
+    have been written. A session that cleans checkpoints may leave it to Spark."""
+    while len(_placed) > since:
+        remove(spark, _placed.pop())
+
+
+def standing() -> int:
+    """The number of rankings that are kept: a mark for `release`."""
+    return len(_placed)
 
 
 def numbered(placed: DataFrame) -> DataFrame:

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from lexiband.functions import tokens as T
 
-# Above this many bytes a text is cut into lines and sentences before it is taken apart. The
-# array of its pieces takes many times the room of the text, and is held by one task.
-LONG_TEXT = 1 << 20
-
 
 def line_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Lines of the text, numbered from 0 within each input row."""
@@ -25,7 +21,7 @@ def line_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> Da
 
 def token_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Non-empty pieces between separators, as written."""
-    return _short_texts(df, text, keep).select(*keep, F.explode(T.pieces(F.col("_text"))).alias("raw"))
+    return _blocks(df, text, keep).select(*keep, F.explode(T.pieces(F.col("_text"))).alias("raw"))
 
 
 def word_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -40,12 +36,22 @@ def letter_rows(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) ->
     No separator is a letter, so runs of letters serve as well as pieces. Two explodes
     keep the arrays small: one array of all letters would be many times the text.
     """
-    runs = _short_texts(df, text, keep).select(*keep, F.explode(T.letter_runs(F.col("_text"))).alias("run"))
+    runs = _blocks(df, text, keep).select(*keep, F.explode(T.letter_runs(F.col("_text"))).alias("run"))
     return runs.select(*keep, F.explode(F.split(F.lower("run"), "")).alias("letter"))
 
 
-def tagged_tokens(df: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """Words tagged `w` and letters tagged `l` in one table."""
+def tagged_tokens(
+    df: DataFrame, text: str = "text", keep: Sequence[str] = (), tags: Sequence[str] = ("w", "l")
+) -> DataFrame:
+    """Words tagged `w` and letters tagged `l` in one table.
+
+    A caller who wants one kind says so in `tags`: a filter on `type` comes too late to keep
+    the other kind from being made.
+    """
+    if set(tags) == {"w"}:
+        return word_rows(df, text, keep).select(*keep, F.col("word").alias("token"), F.lit("w").alias("type"))
+    if set(tags) == {"l"}:
+        return letter_rows(df, text, keep).select(*keep, F.col("letter").alias("token"), F.lit("l").alias("type"))
     raw = F.col("raw")
     tagged = token_rows(df, text, keep).select(*keep, raw, T.is_word(raw).alias("is_word"))
     tokens = F.when(F.col("is_word"), F.concat(F.array(F.lower(raw)), T.letters(raw))).otherwise(T.letters(raw))
@@ -69,8 +75,6 @@ def counting_tokens(df: DataFrame, text: str = "text") -> DataFrame:
     return tagged.select("is_word", F.explode(token).alias("token")).where(F.col("token") != "")
 
 
-def _short_texts(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """Long texts cut where two separators are, which leaves the tokens the same."""
-    whole = F.col(text)
-    parts = F.when(F.octet_length(whole) > LONG_TEXT, F.split(whole, r"[\n.]")).otherwise(F.array(whole))
-    return df.select(*keep, F.explode(parts).alias("_text"))
+def _blocks(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    """Texts in blocks that cut no piece, so that the tokens are the same."""
+    return df.select(*keep, F.explode(T.blocks(F.col(text))).alias("_text"))

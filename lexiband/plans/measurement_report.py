@@ -8,8 +8,11 @@ from lexiband.operators.measurements import mean_and_deviation, unpivot_measures
 from lexiband.sources.csv import execution_columns, read_measurements
 
 
-def measurement_report(spark: SparkSession, path: str | list[str], repetitions: int = 3) -> DataFrame:
-    """`file`, `Workers`, `mean`, `sd`, for all files at once."""
-    ids = ["file", "Workers"]
-    wide = read_measurements(spark, path, repetitions)
+def measurement_report(spark: SparkSession, path: str | list[str], repetitions: int = 3, key: str = "file") -> DataFrame:
+    """`file`, `Workers`, `mean`, `sd`, for all files at once.
+
+    With the key "folder", files of one folder count as one.
+    """
+    ids = [key, "Workers"]
+    wide = read_measurements(spark, path, repetitions, key)
     return mean_and_deviation(unpivot_measures(wide, ids, execution_columns(repetitions)), ids)

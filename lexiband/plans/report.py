@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiband.operators.bands import banded
 from lexiband.operators.frequency import letters_of_counts, token_counts
-from lexiband.operators.ranking import by_frequency, in_order, numbered, with_letter_rank
+from lexiband.operators.ranking import by_frequency, in_order, numbered, release, standing, with_letter_rank
 from lexiband.sources.csv import write_bands
 from lexiband.sources.tables import read_lines
 
@@ -30,8 +30,10 @@ def word_and_letter_bands(df: DataFrame, text: str = "text") -> tuple[DataFrame,
 
 def write_report(spark: SparkSession, source: str | list[str], out_dir: str = ".") -> tuple[str, str]:
     """Read text files, write both banded tables as CSV, and return the two paths."""
+    mark = standing()
     words, letters = word_and_letter_bands(read_lines(spark, source), "value")
     paths = f"{out_dir.rstrip('/')}/{WORDS_OUT}", f"{out_dir.rstrip('/')}/{LETTERS_OUT}"
     write_bands(words, paths[0])
     write_bands(letters, paths[1])
+    release(spark, mark)
     return paths

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -57,6 +57,19 @@ def _inside(folder: str | None, parent: str) -> bool:
     return folder is not None and urlparse(folder).path.startswith(urlparse(parent).path.rstrip("/") + "/")
 
 
+def kept_files(checkpointed: DataFrame) -> str | None:
+    """The folder of a DataFrame that `checkpoint` returned."""
+    file = checkpointed._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    return file.get() if file.isDefined() else None
+
+
+def remove(spark: SparkSession, path: str | None) -> None:
+    """Delete a folder that the session has written."""
+    if path is not None:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_shared_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing was written to yet."""
     return f"{use_shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

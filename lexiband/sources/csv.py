@@ -21,13 +21,21 @@ def read_bands(spark: SparkSession, path: str, token: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+# The columns of a measurement file.
+WORKERS, EXECUTION = "Workers", "Execution Time"
+
+
 def execution_columns(repetitions: int = 3) -> list[str]:
     """Column names of the repetitions in a measurement file."""
-    return [f"Execution Time {i}" for i in range(1, repetitions + 1)]
+    return [f"{EXECUTION} {i}" for i in range(1, repetitions + 1)]
 
 
-def read_measurements(spark: SparkSession, path: str | list[str], repetitions: int = 3) -> DataFrame:
-    """All measurement files under `path` in one scan, each row with the `file` it is from."""
+def read_measurements(
+    spark: SparkSession, path: str | list[str], repetitions: int = 3, key: str = "file"
+) -> DataFrame:
+    """All measurement files under `path` in one scan, each row with the `file` it is from, or
+    with the `folder` of the file if that is the key."""
     times = ", ".join(f"`{name}` DOUBLE" for name in execution_columns(repetitions))
-    scan = spark.read.option("header", True).schema(f"Workers INT, {times}").csv(path)
-    return scan.select(F.col("_metadata.file_name").alias("file"), "*")
+    scan = spark.read.option("header", True).schema(f"{WORKERS} INT, {times}").csv(path)
+    place = F.element_at(F.split("_metadata.file_path", "/"), -1 if key == "file" else -2)
+    return scan.select(place.alias(key), "*")

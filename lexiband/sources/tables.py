@@ -7,35 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | list[str], line_sep: str | None = None, tasks: int | None = None
+) -> DataFrame:
     """One row `value` per line of a UTF-8 text file, directory or glob.
 
     A file can be split between tasks only where a line ends. Lines need not be what the
     file has as lines: any separator character, such as a space, gives the same tokens.
     """
     reader = spark.read if line_sep is None else spark.read.option("lineSep", line_sep)
-    lines = reader.text(path)
-    return _spread(lines, spark.sparkContext.defaultParallelism)
+    return _dealt(reader.text(path), tasks)
 
 
-def read_text_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """The named columns of a parquet table of texts.
-
-    Parquet splits by row group, and a small file may have a single one, so that all but
-    one of the scan's tasks are empty. Spark plans about one task per core for any input
-    below one full split per core, so only twice that number shows a larger input.
-    """
-    return _spread(spark.read.parquet(path).select(*columns), 2 * spark.sparkContext.defaultParallelism)
+def read_text_table(
+    spark: SparkSession, path: str, columns: Sequence[str], tasks: int | None = None
+) -> DataFrame:
+    """The named columns of a parquet table of texts."""
+    return _dealt(spark.read.parquet(path).select(*columns), tasks)
 
 
-def _spread(scan: DataFrame, tasks: int) -> DataFrame:
-    """Deal the rows of a small scan out to `tasks` tasks.
+def _dealt(scan: DataFrame, tasks: int | None) -> DataFrame:
+    """The scan as it lies, or its rows dealt out to `tasks` tasks.
 
-    Tokenising costs far more than moving the text, so idle cores are the larger loss. A
-    scan of that many tasks, or of a file for every core, is left as it lies. A table too
-    large to be worth a shuffle has both.
+    Only a caller who knows that the input is tiny and in one split should ask for that: it
+    moves the text.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= tasks or len(scan.inputFiles()) >= cores:
-        return scan
-    return scan.repartition(tasks)
+    return scan if tasks is None else scan.repartition(tasks)

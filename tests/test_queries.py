@@ -20,10 +20,13 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    """The queries of the training-text operators have tests of their own."""
+    apart = {query.__name__ for query in entry_point.llm_queries}
+    assert set(entry_point.queries()) - apart == set(entry_point.oracle_sql()) - apart
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", entry_point.oracle_sql())
 def test_query(spark, duck, name):
     result = entry_point.queries()[name](spark, SF_DIR)
     relation = duck.execute(entry_point.oracle_sql()[name])

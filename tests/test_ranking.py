@@ -1,10 +1,14 @@
 """The distributed rank against a window over everything."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexiband.operators.ranking import by_frequency, in_order, numbered, with_rank
+from lexiband.operators.ranking import by_frequency, in_order, numbered, release, standing, with_rank
+from lexiband.session import use_shared_folder
 
 
 @pytest.fixture
@@ -75,13 +79,30 @@ def test_no_task_sees_the_whole_vocabulary(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_ranking_outlives_the_executor_files(spark, uncoalesced, local_dir):
+def shuffle_files(spark):
+    """Those that Spark's own disk block manager has, wherever it was told to put them."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    return [Path(files.apply(i).getPath()) for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")]
+
+
+def test_one_copy_stays_until_release(spark):
+    folder = Path(urlparse(use_shared_folder(spark)).path)
+    before, mark = set(folder.glob("rdd-*")), standing()
+    ranked = with_rank(vocabulary(spark, 2_000, 4), by_frequency("word"))
+    assert len(set(folder.glob("rdd-*")) - before) == 1
+    assert ranked.count() == 2_000
+    release(spark, mark)
+    assert not set(folder.glob("rdd-*")) - before
+
+
+def test_ranking_outlives_the_executor_files(spark, uncoalesced):
     """What in_order kept can be read after every shuffle file behind it is gone."""
     df = vocabulary(spark, 20_000, 8)
     want = sorted(brute_force(df).collect())
     placed = in_order(df, by_frequency("word"))
-    shuffle_files = [path for path in local_dir.rglob("shuffle_*") if path.is_file()]
-    assert shuffle_files
-    for path in shuffle_files:
+    files = shuffle_files(spark)
+    assert files
+    for path in files:
         path.unlink()
     assert sorted(numbered(placed).collect()) == want

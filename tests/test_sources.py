@@ -1,24 +1,27 @@
 """Input scans."""
 
+import __spark_entry__ as entry
+import pytest
+
 from lexiband.sources.tables import read_lines, read_text_table
 
 
-def test_single_row_group_is_dealt_out_to_all_cores(spark, tmp_path):
+def test_rows_are_dealt_out_if_asked_for(spark, tmp_path):
     path = str(tmp_path / "table")
     spark.range(2_000).selectExpr("id", "string(id) AS text").coalesce(1).write.parquet(path)
-    table = read_text_table(spark, path, ["text"])
-    cores = spark.sparkContext.defaultParallelism
+    assert read_text_table(spark, path, ["text"]).rdd.getNumPartitions() == 1
+    table = read_text_table(spark, path, ["text"], tasks=5)
     assert table.columns == ["text"]
-    assert table.rdd.getNumPartitions() == 2 * cores
+    assert table.rdd.getNumPartitions() == 5
     assert sorted(int(row.text) for row in table.collect()) == list(range(2_000))
 
 
-def test_table_with_a_file_for_every_core_is_not_shuffled(spark, tmp_path):
-    path = str(tmp_path / "table")
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(0, 2_000, 1, cores).selectExpr("string(id) AS text").write.parquet(path)
-    plan = read_text_table(spark, path, ["text"])._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+@pytest.mark.parametrize("name", ["line_scan", "token_rows", "word_rows", "tagged_words", "file_lines"])
+def test_text_is_not_shuffled_before_it_is_taken_apart(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert not any("RoundRobin" in line for line in exchanges)
+    assert exchanges == [] or name in ("tagged_words", "file_lines")
 
 
 def test_only_the_text_is_read(spark, tmp_path):
@@ -32,5 +35,4 @@ def test_lines_of_a_compressed_file(spark, tmp_path):
     path = str(tmp_path / "text")
     spark.range(100).selectExpr("string(id)").coalesce(1).write.option("compression", "gzip").text(path)
     lines = read_lines(spark, path)
-    assert lines.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert lines.count() == 100

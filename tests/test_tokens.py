@@ -90,9 +90,23 @@ def test_documents_and_their_lines_count_the_same(texts):
     assert sorted(whole) == sorted(frequency.token_counts(lines, "line").collect())
 
 
+def test_a_long_text_without_line_or_sentence_counts_right(spark):
+    """64 MB in one row, parted by spaces alone, is never one array."""
+    df = spark.range(1).selectExpr("repeat('Aa b9 c-d ', 6710886) AS text")
+    assert dict(frequency.word_frequency(df).collect()) == {"aa": 6710886, "c": 6710886, "d": 6710886}
+
+
+def test_only_wanted_kinds_are_made(texts):
+    df = texts("Aa 1b")
+    words = tokenize.tagged_tokens(df, tags=["w"])
+    assert words.collect() == [("aa", "w")]
+    assert "split" not in words._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tokenize.tagged_tokens(df, tags=["l"]).collect()) == [("a", "l"), ("a", "l"), ("b", "l")]
+
+
 def test_long_texts_are_cut_without_loss(texts, monkeypatch):
     text = "Aa 1b\n\n" * 50 + "c-d\r\ne's\n.5.Six." + "x" * 40
-    monkeypatch.setattr(tokenize, "LONG_TEXT", 100)
+    monkeypatch.setattr(tokenize.T, "BLOCK", 100)
     df = texts(text, "short text\nof two lines")
     words = Counter(model.words(text + "\nshort text\nof two lines"))
     assert dict(frequency.word_frequency(df).collect()) == words
