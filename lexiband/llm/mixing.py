@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiband.llm.common import kept, small
+from lexiband.llm.common import BROADCAST_ROWS, kept, small
 
 SWEEPS, DIGITS = 6, 13
 WORD = r"[^ \t\n\r\f\x0B]+"
@@ -86,12 +86,13 @@ def rake(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int = SWEEPS)
     for key, target in zip(names, targets):
         raked = raked.join(target.withColumnRenamed("share", f"share_{key}"), key, "left")
     raked = kept(raked.na.fill(0.0, [f"share_{key}" for key in names]))
+    few = raked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # and so are the sums of the cells
     for _ in range(sweeps):
         for key in names:
             sums = raked.groupBy(key).agg(F.sum("weight").alias("held"))
             scaled = F.col("weight") * F.col(f"share_{key}") / F.col("held")
             weight = F.when(F.col("held") > 0, scaled).otherwise(0.0)
-            raked = kept(raked.join(sums, key).withColumn("weight", weight).drop("held"))
+            raked = kept(raked.join(F.broadcast(sums) if few else sums, key).withColumn("weight", weight).drop("held"))
     return raked.select(*names, "tokens", "weight")
 
 
