@@ -69,10 +69,8 @@ def tempered(cells_: DataFrame, key: str, alpha: float) -> DataFrame:
     """Target shares of one dimension: its token shares to the power `alpha`, to sum 1."""
     sums = cells_.groupBy(key).agg(F.sum("tokens").alias("tokens"))
     raised = sums.select(key, F.pow(F.col("tokens").cast("double"), F.lit(alpha)).alias("raised"))
-    total = raised.agg(F.sum("raised").alias("total"))
-    return raised.crossJoin(F.broadcast(total)).select(
-        key, F.when(F.col("total") > 0, F.col("raised") / F.col("total")).otherwise(0.0).alias("share")
-    )
+    total = raised.agg(F.sum("raised")).scalar()
+    return raised.select(key, F.when(total > 0, F.col("raised") / total).otherwise(0.0).alias("share"))
 
 
 def rake(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int = SWEEPS) -> DataFrame:
@@ -100,9 +98,9 @@ def calibrated(raked: DataFrame) -> DataFrame:
     """The raked cells with `probability`, at most 1 and 1 in some cell."""
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     ratios = raked.withColumn("ratio", ratio)
-    most = ratios.agg(F.max("ratio").alias("most"))
-    return ratios.crossJoin(F.broadcast(most)).select(
-        *raked.columns, F.when(F.col("most") > 0, F.col("ratio") / F.col("most")).otherwise(0.0).alias("probability")
+    most = ratios.agg(F.max("ratio")).scalar()
+    return ratios.select(
+        *raked.columns, F.when(most > 0, F.col("ratio") / most).otherwise(0.0).alias("probability")
     )
 
 
