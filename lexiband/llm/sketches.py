@@ -249,10 +249,12 @@ def _ranges(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     firsts = bucketed.groupBy("bucket").agg(F.min(F.struct("place", digest.alias("digest"))).alias("first"))
     in_order = F.row_number().over(Window.orderBy("bucket"))
     firsts = firsts.select("bucket", "first", in_order.alias("n"))
-    last = firsts.agg(F.max("bucket").alias("last_bucket"))
     firsts = firsts.select(
-        F.col("bucket"), "first", F.lag("bucket").over(Window.orderBy("n")).alias("previous")
-    ).crossJoin(F.broadcast(last))
+        "bucket",
+        "first",
+        F.lag("bucket").over(Window.orderBy("n")).alias("previous"),
+        F.max("bucket").over(Window.partitionBy()).alias("last_bucket"),
+    )
     target = firsts.select(
         F.col("first.place").alias("place"),
         F.col("first.digest").alias("digest"),
