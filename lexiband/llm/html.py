@@ -60,15 +60,18 @@ FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form status".split()
 )
 FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|footer\w*"
-    r"|header|masthead|cookies?|consent|gdpr|notices?|alerts?|comments?|disqus|repl(?:y|ies)|newsletter|subscribe"
-    r"|share|sharing|social|related|popups?|modal|widgets?|pagination|pager|toolbar|skip)(?=$|[\s_-])",
-    re.I,
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|nav(?:bar|igation|links?)?|menu\w*|breadcrumbs?|sidebar\w*|footer\w*"
+    r"|masthead|cookies?|consent|gdpr|notices?|alerts?|comments?|disqus|repl(?:y|ies)|newsletter|subscribe"
+    r"|share|sharing|social|related|popups?|modal|widgets?|pagination|pager|toolbar|skip"
 )
+PAGE_NAMES = frozenset(["header", "topbar"])  # furniture outside an article; inside, its heading
+ABOUT = frozenset("has have with without no not".split())  # "has-sidebar" tells of a sidebar and is none
 CONTENT = frozenset(["article", "main"])
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def host(url: str) -> Column:
@@ -127,17 +130,30 @@ def is_furniture(tag: str, attributes: str, parent: Element | None) -> bool:
     inside = parent is not None and parent.content
     if tag in FURNITURE or (tag == "header" and not inside):
         return True
-    if not attributes or tag in CONTENT or tag in ("html", "body"):
+    if not attributes or tag in ("html", "body"):
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = values[0] or values[1] or values[2]
-        if name.lower() == "hidden" or (name.lower() == "role" and value.lower() in FURNITURE_ROLES):
+        name, value = name.lower(), values[0] or values[1] or values[2]
+        if name == "hidden" or (name == "style" and UNSEEN.search(value)):
             return True
-        if name.lower() in ("class", "id") and FURNITURE_NAMES.search(value):
+        if name == "role" and value.lower() in FURNITURE_ROLES:
+            return True
+        if name in ("class", "id") and any(named_furniture(word, tag, inside) for word in value.split()):
             return True
     return False
 
 
+def named_furniture(word: str, tag: str, inside: bool) -> bool:
+    """Whether one class or id names furniture. An article may be named for what goes with it,
+    "post comment-open" say, so only a whole name counts there, and only within another."""
+    if tag in CONTENT:
+        return inside and FURNITURE_NAMES.fullmatch(word.lower()) is not None
+    parts = [part.lower() for part in NAME_PARTS.findall(word)]
+    if not ABOUT.isdisjoint(parts):
+        return False
+    return any(FURNITURE_NAMES.fullmatch(part) or (part in PAGE_NAMES and not inside) for part in parts)
+
+
 class Page:
     """One reading of a page: the hashes of the elements outside the article, and the text."""
 

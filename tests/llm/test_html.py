@@ -25,6 +25,10 @@ def text_of(page):
         ("<article><p title='a>b'>x</p><div role=navigation>n</div><div hidden>h</div></article>", "x"),
         ("<div class='cookie-notice'>c</div><div class=sidebar>s</div><p>body</p><div id='footer'>f</div>", "body"),
         ("</p></div><p>x</article>", "x"),
+        ("<div style='overflow:hidden' title='id hidden'>a</div><b aria-hidden=false>b</b><i style='display: none'>c</i>", "a\nb"),
+        ("<div class='with-sidebar no-ads'><article class='post comment-open'>a</article></div>", "a"),
+        ("<article><div class='post-header'><h1>t</h1></div>a<article class='comment'>c</article></article>", "t\na"),
+        ("<div class='site-header'>h</div><div id=topAd2>x</div><div class='user_comments'>c</div><p>a</p>", "a"),
     ],
 )
 def test_main_text(page, text):
