@@ -3,8 +3,9 @@
 Two zstandard dictionaries are trained, one on ordinary and one on toxic text, and every
 window of a text is compressed with both: the bytes that the toxic dictionary saves are the
 window's distance. A frame of zstandard costs about ten bytes and a match in the middle of
-a word says nothing, so words are written as codes of eight bytes each: a word that a
-dictionary holds is one match, any other is eight literal bytes in both. Each dictionary
+a word says nothing, so words are written as codes of sixteen bytes each: a word that a
+dictionary holds is one match, any other is sixteen literal bytes in both. A match costs up
+to six bytes, so that one of eight would hardly show. Each dictionary
 holds the words most frequent in ordinary text; the toxic one ends with the words that mark
 toxic text by their document frequencies, the ordinary one with the words that mark ordinary
 text, as many of them.
@@ -37,7 +38,7 @@ from pyspark.sql import types as T
 from lexiband.llm.common import kept, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
-WINDOW, LEVEL = 16, 1
+WINDOW, LEVEL, SLACK, WEIGHT = 16, 3, 2, 200
 COMMON, MARKING, LEAST_DOCS, LEAST_RATIO = 500, 2000, 4, 24.0
 LEARNING, SAMPLE, CUT = 40_000, 10_000, 0.3
 
@@ -66,12 +67,16 @@ class Codes(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) > 400_000:
             self.clear()
-        code = self[word] = xxhash.xxh64_digest(word.encode("utf-8", "surrogatepass"))
+        code = self[word] = xxhash.xxh128_digest(word.encode("utf-8", "surrogatepass"))
         return code
 
 
 class Distance:
-    """Feature of a text: log of the bytes saved per word in its windows."""
+    """Feature of a text: log of the bytes saved per word in its windows.
+
+    Up to SLACK bytes a window are noise. A text counts as WEIGHT words longer than it is, so
+    that one saving in a short text is no higher a share than many in a long one.
+    """
 
     def __init__(self, ordinary: tuple[str, ...], toxic: tuple[str, ...]):
         self.codes = Codes()
@@ -91,8 +96,8 @@ class Distance:
         saved = 0
         for i in range(0, len(coded), WINDOW):
             window = b"".join(coded[i : i + WINDOW])
-            saved += max(0, len(self.ordinary(window)) - len(self.toxic(window)) - 2)
-        return math.log((saved + 0.5) / (len(coded) + 20))
+            saved += max(0, len(self.ordinary(window)) - len(self.toxic(window)) - SLACK)
+        return math.log((saved + 0.5) / (len(coded) + WEIGHT))
 
 
 def _distances(docs: DataFrame, ordinary, toxic) -> DataFrame:
