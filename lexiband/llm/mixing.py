@@ -2,7 +2,8 @@
 
 Documents are summed into cells, one for each combination of the dimensions (source,
 language and topic, say), weighed by tokens. The cells' weights are raked: scaled along one
-dimension after the other until the token shares of every dimension are the target shares. A
+dimension after the other until the token shares of every dimension are the target shares,
+to a thousandth of each; a warning is logged if that can't be had. A
 document of a cell is then drawn with the probability raked weight / tokens, scaled so that
 the largest probability is 1: the targets hold in expectation, and no document is repeated.
 The draw is a hash of the document's id, so it is the same in every run and on every retry.
@@ -21,6 +22,7 @@ a null id are drawn by their text. Repeated rows are drawn alike.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +30,13 @@ from pyspark.sql import functions as F
 
 from lexiband.llm.common import BROADCAST_ROWS, kept, small
 
-SWEEPS, DIGITS = 6, 13
+# Sweeps are at least SWEEPS and go on until no share is further off its target than TOLERANCE
+# of it. They end unfinished, with a warning, after MOST_SWEEPS or when they gain nothing more.
+SWEEPS, MOST_SWEEPS, TOLERANCE, GAIN, DIGITS = 6, 200, 1e-3, 1e-4, 13
 WORD = r"[^ \t\n\r\f\x0B]+"
 
+log = logging.getLogger(__name__)
+
 
 def token_count(text: Column) -> Column:
     """Words parted by white space."""
@@ -73,11 +79,20 @@ def tempered(cells_: DataFrame, key: str, alpha: float) -> DataFrame:
     return raised.select(key, F.when(total > 0, F.col("raised") / total).otherwise(0.0).alias("share"))
 
 
-def rake(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int | None = None) -> DataFrame:
     """The cells with `weight`, whose shares along every dimension are the targets.
 
-    `targets` has a table (key, share) for each dimension. The lineage is cut after every
-    scaling, as each one reads the cells twice.
+    `targets` has a table (key, share) for each dimension. `sweeps` sets a number of sweeps
+    instead of the tolerance.
+    """
+    names = [f"d{i}" for i in range(len(targets))]
+    return raked_with_shares(cells_, targets, sweeps).select(*names, "tokens", "weight")
+
+
+def raked_with_shares(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int | None = None) -> DataFrame:
+    """The raked cells, with the share of each dimension's value as share_d0, share_d1, ...
+
+    The lineage is cut after every scaling, as each one reads the cells twice.
     """
     raked = cells_.withColumn("weight", F.col("tokens").cast("double"))
     names = [f"d{i}" for i in range(len(targets))]
@@ -85,13 +100,53 @@ def rake(cells_: DataFrame, targets: Sequence[DataFrame], sweeps: int = SWEEPS)
         raked = raked.join(target.withColumnRenamed("share", f"share_{key}"), key, "left")
     raked = kept(raked.na.fill(0.0, [f"share_{key}" for key in names]))
     few = raked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # and so are the sums of the cells
-    for _ in range(sweeps):
+    done, last = 0, float("inf")
+    while done != sweeps:
         for key in names:
             sums = raked.groupBy(key).agg(F.sum("weight").alias("held"))
             scaled = F.col("weight") * F.col(f"share_{key}") / F.col("held")
             weight = F.when(F.col("held") > 0, scaled).otherwise(0.0)
             raked = kept(raked.join(F.broadcast(sums) if few else sums, key).withColumn("weight", weight).drop("held"))
-    return raked.select(*names, "tokens", "weight")
+        done += 1
+        if sweeps is None and done >= SWEEPS:
+            off = largest_difference(raked, names)
+            if off <= TOLERANCE:
+                break
+            if done >= MOST_SWEEPS or off > last * (1 - GAIN):
+                log.warning("raking ended after %d sweeps with a share %.3g of its target off", done, off)
+                break
+            last = off
+    return raked
+
+
+def shares_held(cells_: DataFrame, names: Sequence[str], amount: Column) -> DataFrame:
+    """dimension, value, the `share` it is to have and the one it has `reached`, for every value
+    with tokens. The shares of values without tokens go to the others."""
+    tables = []
+    for key in names:
+        sums = cells_.groupBy(key).agg(
+            F.first(f"share_{key}").alias("share"), F.sum(amount).alias("held"), F.sum("tokens").alias("tokens")
+        ).where("tokens > 0")
+        totals = sums.agg(F.sum("share").alias("shares"), F.sum("held").alias("all_held"))
+        tables.append(
+            sums.join(F.broadcast(totals)).select(
+                F.lit(key).alias("dimension"),
+                F.col(key).alias("value"),
+                F.when(F.col("shares") > 0, F.col("share") / F.col("shares")).otherwise(0.0).alias("share"),
+                F.when(F.col("all_held") > 0, F.col("held") / F.col("all_held")).otherwise(0.0).alias("reached"),
+            )
+        )
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out
+
+
+def largest_difference(raked: DataFrame, names: Sequence[str]) -> float:
+    """The largest relative difference of a share from its target, 0 without any."""
+    off = F.abs(F.col("reached") / F.col("share") - 1)
+    found = shares_held(raked, names, F.col("weight")).where("share > 0").agg(F.max(off).alias("off")).first()
+    return found["off"] or 0.0
 
 
 def calibrated(raked: DataFrame) -> DataFrame:
@@ -112,7 +167,7 @@ def mixed(
     text: str = "text",
     doc_id: str = "doc_id",
     seed: str = "mix",
-    sweeps: int = SWEEPS,
+    sweeps: int | None = None,
 ) -> DataFrame:
     """`doc`, a struct of the columns of `docs`, its tokens, cell weight, probability and
     whether it is `kept`.

@@ -75,3 +75,28 @@ def test_targets_of_the_query_are_met(spark):
     for i, target in enumerate(targets):
         want = {r[0]: r[1] for r in target.collect()}
         assert raked.groupby(f"d{i}").weight.sum().to_dict() == pytest.approx(want, rel=1e-3)
+
+
+def test_raking_goes_on_until_sparse_correlated_shares_are_met(spark):
+    rows = []
+    for s in range(200):  # a source has two languages of twenty
+        rows += [(f"=s{s}", f"={s % 20}", 1 + s * 7919 % 997), (f"=s{s}", f"={(s * 7 + s // 20 + 1) % 20}", 200 + s * 31 % 13)]
+    rows += [("=hot", f"={k}", 10_000 * (k + 1)) for k in range(3)]
+    summed = spark.createDataFrame(rows, "d0 STRING, d1 STRING, tokens BIGINT").groupBy("d0", "d1").agg(F.sum("tokens").alias("tokens"))
+    targets = [mixing.tempered(summed, key, 0.5) for key in ("d0", "d1")]
+    raked = mixing.rake(summed, targets).toPandas()
+    for i, target in enumerate(targets):
+        want = {r[0]: r[1] for r in target.collect()}
+        assert raked.groupby(f"d{i}").weight.sum().to_dict() == pytest.approx(want, rel=2 * mixing.TOLERANCE)
+    six = mixing.rake(summed, targets, mixing.SWEEPS).groupBy("d0").agg(F.sum("weight").alias("held"))
+    off = six.join(targets[0], "d0").agg(F.max(F.abs(F.col("held") / F.col("share") - 1))).first()[0]
+    assert off > 0.01
+
+
+def test_shares_that_cannot_be_met_are_reported(spark, caplog):
+    summed = spark.createDataFrame([("=a", "=x", 10), ("=b", "=y", 10)], "d0 STRING, d1 STRING, tokens BIGINT")
+    shares = [[("=a", 0.9), ("=b", 0.1)], [("=x", 0.1), ("=y", 0.9)]]
+    targets = [spark.createDataFrame(rows, f"d{i} STRING, share DOUBLE") for i, rows in enumerate(shares)]
+    with caplog.at_level("WARNING"):
+        mixing.rake(summed, targets)
+    assert "raking ended" in caplog.text
