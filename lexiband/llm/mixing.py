@@ -4,8 +4,18 @@ Documents are summed into cells, one for each combination of the dimensions (sou
 language and topic, say), weighed by tokens. The cells' weights are raked: scaled along one
 dimension after the other until the token shares of every dimension are the target shares,
 to a thousandth of each; a warning is logged if that can't be had. A
-document of a cell is then drawn with the probability raked weight / tokens, scaled so that
-the largest probability is 1: the targets hold in expectation, and no document is repeated.
+document of a cell is then drawn with a probability, and no document is repeated. Which one
+depends on what is to hold:
+
+* With a budget, a share of all tokens, the expected tokens are the budget. Cells that would
+  have to be repeated are kept whole, and the others raked to what remains of the shares.
+  Shares that can't be reached without repeats are logged as a warning, and the budget is
+  met with the other documents. This is the default for the tempered shares of the documents
+  themselves (BUDGET).
+* `exact`, the default for given targets, divides raked weight / tokens by its largest value:
+  the targets hold in expectation, whatever that costs. How much is kept then depends on the
+  scarcest cell, and one odd document can make it little.
+
 The draw is a hash of the document's id, so it is the same in every run and on every retry.
 
 DataFrame functions only. Cells are combined before the shuffle, so a hot source is a few
@@ -34,6 +44,8 @@ from lexiband.llm.common import BROADCAST_ROWS, kept, small
 # of it. They end unfinished, with a warning, after MOST_SWEEPS or when they gain nothing more.
 SWEEPS, MOST_SWEEPS, TOLERANCE, GAIN, DIGITS = 6, 200, 1e-3, 1e-4, 13
 WORD = r"[^ \t\n\r\f\x0B]+"
+# The share of all tokens that is kept by default, and how often cells may be found to keep whole.
+BUDGET, ROUNDS = 0.6, 20
 
 log = logging.getLogger(__name__)
 
@@ -159,6 +171,97 @@ def calibrated(raked: DataFrame) -> DataFrame:
     )
 
 
+def budgeted(raked: DataFrame, budget: float) -> DataFrame:
+    """The raked cells with their shares, with a `probability` that keeps `budget` of all tokens."""
+    names = [name for name in raked.columns if f"share_{name}" in raked.columns]
+    sums = raked.agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).first()
+    asked = budget * (sums["tokens"] or 0)
+    if not asked or not sums["weight"]:
+        return raked.withColumn("probability", F.lit(0.0))
+    part = F.col("weight") * F.lit(asked / sums["weight"])
+    parts = kept(raked.withColumns({"part": part, "whole": F.lit(False)}))
+    few = parts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    for _ in range(ROUNDS):
+        over = ~F.col("whole") & (F.col("part") > F.col("tokens") * (1 + TOLERANCE / 10))
+        if parts.where(over).isEmpty():
+            break
+        part = F.least("part", F.col("tokens").cast("double"))
+        parts = kept(parts.withColumns({"whole": F.col("whole") | over, "part": part}))
+        parts = rest_raked(parts, names, asked, few)
+    else:
+        log.warning("cells to be kept whole were still found after %d rounds", ROUNDS)
+    factor = budget_factor(parts, asked)
+    chance = F.least(F.lit(1.0), F.col("part") * F.lit(factor) / F.col("tokens"))
+    chances = kept(
+        parts.withColumn("probability", F.when(F.col("tokens") > 0, chance).otherwise(0.0)).drop("part", "whole")
+    )
+    report(chances, names, asked)
+    return chances
+
+
+def rest_raked(parts: DataFrame, names: Sequence[str], asked: float, few: bool) -> DataFrame:
+    """`part` of the cells that are not whole, raked to what the whole ones leave of the shares."""
+    fixed = F.when(F.col("whole"), F.col("part")).otherwise(0.0)
+    free = F.when(F.col("whole"), 0.0).otherwise(F.col("part"))
+    rest = asked - parts.agg(F.sum(fixed).alias("n")).first()["n"]
+    last = float("inf")
+    for done in range(1, MOST_SWEEPS + 1):
+        parts = parts.withColumn("before", F.col("part"))
+        for key in names:
+            sums = parts.groupBy(key).agg(
+                F.first(f"share_{key}").alias("share"), F.sum(fixed).alias("fixed"), F.sum(free).alias("held")
+            )
+            remains = F.greatest(F.col("share") * asked - F.col("fixed"), F.lit(0.0))
+            sums = sums.select(key, "held", F.when(F.col("held") > 0, remains).otherwise(0.0).alias("remains"))
+            total = sums.agg(F.sum("remains").alias("total"))
+            scaled = sums.join(F.broadcast(total)).select(
+                key,
+                F.when((F.col("held") > 0) & (F.col("total") > 0), F.col("remains") / F.col("held") / F.col("total") * rest)
+                .otherwise(1.0)
+                .alias("factor"),
+            )
+            part = F.when(F.col("whole"), F.col("part")).otherwise(F.col("part") * F.col("factor"))
+            parts = kept(parts.join(F.broadcast(scaled) if few else scaled, key).withColumn("part", part).drop("factor"))
+        change = F.abs(F.col("part") / F.col("before") - 1)
+        found = parts.where("before > 0").agg(F.max(change).alias("off")).first()
+        off, parts = found["off"] or 0.0, parts.drop("before")
+        if off <= TOLERANCE / 10 or off > last * (1 - GAIN):
+            break
+        last = off
+    return parts
+
+
+def budget_factor(parts: DataFrame, asked: float) -> float:
+    """The number c with which the sum of least(tokens, c * part) is what is asked, by Newton's
+    method: the sum is concave in c, so the steps end at the cells that c keeps whole."""
+    c = 1.0
+    for _ in range(100):
+        whole = F.col("part") * F.lit(c) >= F.col("tokens")
+        found = parts.where("part > 0").agg(
+            F.sum(F.when(whole, F.col("tokens")).otherwise(0)).alias("whole"),
+            F.sum(F.when(whole, 0.0).otherwise(F.col("part"))).alias("free"),
+        ).first()
+        if not found["free"]:
+            break
+        better = (asked - found["whole"]) / found["free"]
+        if abs(better - c) <= 1e-12 * c:
+            break
+        c = better
+    return c
+
+
+def report(chances: DataFrame, names: Sequence[str], asked: float) -> None:
+    """Log the shares that are not reached, the furthest off first, and a budget that is not."""
+    amount = F.col("tokens") * F.col("probability")
+    reached = chances.agg(F.sum(amount).alias("n")).first()["n"]
+    if abs(reached / asked - 1) > TOLERANCE:
+        log.warning("%.0f of %.0f tokens asked for can be kept", reached, asked)
+    off = F.abs(F.col("reached") - F.col("share"))
+    missed = shares_held(chances, names, amount).where(off > F.col("share") * TOLERANCE).orderBy(off.desc())
+    for row in missed.limit(20).collect():
+        log.warning("share of %s %r: %.4g asked for, %.4g reached", row.dimension, row.value, row.share, row.reached)
+
+
 def mixed(
     docs: DataFrame,
     dims: Mapping[str, Column],
@@ -168,13 +271,17 @@ def mixed(
     doc_id: str = "doc_id",
     seed: str = "mix",
     sweeps: int | None = None,
+    budget: float | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """`doc`, a struct of the columns of `docs`, its tokens, cell weight, probability and
     whether it is `kept`.
 
     `targets` has a table (value, share) for each dimension that is not to have the tempered
-    shares of the documents themselves.
+    shares of the documents themselves. `budget` and `exact` say how much is kept, see above.
     """
+    if budget is None and not targets and not exact:
+        budget = BUDGET
     names = key_names(dims)
     summed = kept(cells(docs, dims, text))
     shares = []
@@ -184,7 +291,9 @@ def mixed(
             shares.append(targets[name].select(value.alias(key), F.col("share").cast("double")))
         else:
             shares.append(tempered(summed, key, alpha))
-    chances = kept(calibrated(rake(summed, shares, sweeps)).select(*names, "weight", "probability"))
+    raked = raked_with_shares(summed, shares, sweeps)
+    chances = calibrated(raked) if budget is None or exact else budgeted(raked, budget)
+    chances = kept(chances.select(*names, "weight", "probability"))
     rows = docs.select(
         F.struct("*").alias("doc"),
         *dimension_keys(dims),

@@ -40,7 +40,8 @@ def mixing_dimensions() -> dict[str, Column]:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = mixing_dimensions()
-    drawn = mixing.mixed(_table(spark, sf_dir, "documents"), dims, alpha=ALPHA)
+    # Its SQL divides by the largest ratio.
+    drawn = mixing.mixed(_table(spark, sf_dir, "documents"), dims, alpha=ALPHA, exact=True)
     return drawn.select(
         "doc.doc_id",
         "doc.source",

@@ -100,3 +100,17 @@ def test_shares_that_cannot_be_met_are_reported(spark, caplog):
     with caplog.at_level("WARNING"):
         mixing.rake(summed, targets)
     assert "raking ended" in caplog.text
+
+
+def test_an_odd_document_leaves_the_kept_share_as_it_was(spark, caplog):
+    rows = [(i, "w " * (50 + i % 90), f"s{i % 4}" if i % 3 else "hot", "en" if i % 5 else "de") for i in range(900)]
+    shares = []
+    for more in ([], [(-1, "five words and no more", "odd", "xx")]):
+        with caplog.at_level("WARNING"):
+            drawn = mixing.mixed(frame(spark, rows + more), dims()).select("doc.doc_id", "doc.source", "tokens", "probability").toPandas()
+        taken = drawn.tokens * drawn.probability
+        assert taken.sum() / drawn.tokens.sum() == pytest.approx(mixing.BUDGET, rel=1e-6)
+        shares.append((taken.groupby(drawn.source).sum() / taken.sum()).to_dict())
+    assert drawn.probability[drawn.doc_id == -1].item() == 1.0
+    assert {k: v for k, v in shares[1].items() if k != "odd"} == pytest.approx(shares[0], rel=0.01)
+    assert "share of d0 '=odd'" in caplog.text
