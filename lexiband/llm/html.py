@@ -1,15 +1,16 @@
 """Main text of web pages by removal of site templates.
 
 Every element of a page that is not part of its article is hashed with all it holds. Spark
-counts on how many pages of a host each hash occurs; a hash on at least LEAST_PAGES pages and
-LEAST_SHARE of the host's pages is a template, and its subtree is deleted wherever it
-occurs. What a page repeats of no other page (an advert seen once, the menu of a host with
+counts on how many pages of a host each hash occurs, copies of a page, told by all its text,
+as one; a hash on at least LEAST_PAGES pages and LEAST_SHARE of the host's pages is a template,
+and its subtree is deleted wherever it occurs, but for an article in it. What a page repeats of no other page (an advert seen once, the menu of a host with
 two pages) is then caught by what an element is: by its tag, its role, its class and id.
 The text of the article is what remains; a page without one keeps all that remains.
 
 A host's templates are at most 1 / LEAST_SHARE times the elements of a page, so they travel
 as one array per host: broadcast if the checked number of hashes is small, else by a join
-that AQE splits for a host with many pages. Counts are combined before the shuffle.
+that AQE splits for a host with many pages. Hashes meet in the shuffle by host, hash and page, so
+that a hash on all pages of a host is in many tasks.
 
 Defined results: null html is empty and gives an empty text. A null or broken url is of the
 host "". Pages are read row by row, so repeated and null ids do no harm. Unclosed and
@@ -154,11 +155,16 @@ def named_furniture(word: str, tag: str, inside: bool) -> bool:
     return any(FURNITURE_NAMES.fullmatch(part) or (part in PAGE_NAMES and not inside) for part in parts)
 
 
+def signed(digest: xxhash.xxh64) -> int:
+    return int.from_bytes(digest.digest(), "big", signed=True)
+
+
 class Page:
     """One reading of a page: the hashes of the elements outside the article, and the text."""
 
     def __init__(self, page: str, templates: frozenset[int] = frozenset()):
         self.templates, self.hashes = templates, set()
+        self.all_text = xxhash.xxh64()
         self.stack = [Element("#page", "", None)]
         self.inline: list[str] = []
         for kind, value, attributes in tokens(page):
@@ -173,11 +179,15 @@ class Page:
         self._end_block()
         blocks = self.stack[0].blocks
         article = [text for text, inside in blocks if inside]
+        self.digest = signed(self.all_text)
         self.text = "\n".join(article or [text for text, _ in blocks])
 
     def _text(self, value: str) -> None:
         top = self.stack[-1]
-        top.hash.update(" ".join(value.split()).encode("utf-8", "surrogatepass"))
+        words = " ".join(value.split()).encode("utf-8", "surrogatepass")
+        top.hash.update(words)
+        if words and top.tag not in RAW:
+            self.all_text.update(words + b"\n")
         if not top.furniture:
             self.inline.append(value if top.tag in RAW else references.unescape(value))
 
@@ -226,39 +236,50 @@ class Page:
         if self.stack[-1].tag in BLOCKS:
             self._end_block()
         element = self.stack.pop()
-        digest = element.hash.intdigest()
-        signed = digest - (1 << 64) if digest >> 63 else digest
+        key = signed(element.hash)
         parent = self.stack[-1]
-        parent.hash.update(digest.to_bytes(8, "big"))
+        parent.hash.update(element.hash.digest())
         outside = not element.content and element.tag not in ("html", "body")
         if outside:
-            self.hashes.add(signed)
-        if not (outside and signed in self.templates):
+            self.hashes.add(key)
+        if not (outside and key in self.templates):
             parent.blocks.extend(element.blocks)
-        elif element.tag not in BLOCKS:
+            return
+        parent.blocks.extend(block for block in element.blocks if block[1])
+        if element.tag not in BLOCKS:
             self.inline.clear()
 
 
-def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """host and `hashes`, the subtrees that recur on its pages."""
+def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
+    """host, hash and page, the digest of its text, once for each; a null hash stands for the page."""
 
     def hashed(batches):
         for batch in batches:
-            hosts, rows, values = batch.column("host").to_pylist(), [], []
-            for row, page in enumerate(batch.column("html").to_pylist()):
-                found = Page(page or "").hashes
+            hosts, rows, values, digests = batch.column("host").to_pylist(), [], [], []
+            for row, html_ in enumerate(batch.column("html").to_pylist()):
+                page = Page(html_ or "")
+                found = [None, *page.hashes]
                 rows += [hosts[row]] * len(found)
                 values += found
+                digests += [page.digest] * len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.string()), pa.array(values, pa.int64())], names=["host", "hash"]
+                [pa.array(rows, pa.string()), pa.array(values, pa.int64()), pa.array(digests, pa.int64())],
+                names=["host", "hash", "page"],
             )
 
     rows = pages.select(host(url).alias("host"), F.col(html).alias("html"))
-    counts = rows.mapInArrow(hashed, "host string, hash bigint").groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    return rows.mapInArrow(hashed, "host string, hash bigint, page bigint").distinct()
+
+
+def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """host and `hashes`, the subtrees that recur on its pages."""
+    counts = kept(page_hashes(pages, html, url).groupBy("host", "hash").agg(F.count("*").alias("n")).where(
+        F.col("hash").isNull() | (F.col("n") >= LEAST_PAGES)
+    ))
+    sizes = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"))
     enough = F.greatest(F.lit(LEAST_PAGES), F.col("pages") * LEAST_SHARE)
     return (
-        counts.where(F.col("n") >= LEAST_PAGES)
+        counts.where("hash IS NOT NULL")
         .join(sizes, "host")
         .where(F.col("n") >= enough)
         .groupBy("host")

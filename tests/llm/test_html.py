@@ -68,3 +68,18 @@ def test_articles_stay_where_they_recur(spark):
 def test_the_join_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(html, "BROADCAST_HASHES", 0)
     test_what_recurs_on_a_host_goes(spark)
+
+
+def texts_of(spark, *pages, url="http://a.example/"):
+    rows = [(i, url, page, "", "") for i, page in enumerate(pages)]
+    return [r.text for r in html.main_text(spark.createDataFrame(rows, SCHEMA)).orderBy("page_id").collect()]
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    wrapped = "<body><div id=wrap><article><p>the story</p></article></div></body>"
+    assert texts_of(spark, *[wrapped] * 10) == ["the story"] * 10
+    bare = "<body><div><p>the story</p></div></body>"
+    assert texts_of(spark, *[bare] * 10) == ["the story"] * 10
+    # Pages with other menus, so that the wrapper of the article does recur.
+    varied = [f"<body><nav>menu {i}</nav>{wrapped}</body>" for i in range(10)]
+    assert texts_of(spark, *varied) == ["the story"] * 10
