@@ -1,11 +1,15 @@
 """Main text of web pages by removal of site templates.
 
-Every element of a page that is not part of its article is hashed with all it holds. Spark
+Every element of a page is hashed with all it holds, one within an article apart from others. Spark
 counts on how many pages of a host each hash occurs, copies of a page, told by all its text,
 as one; a hash on at least LEAST_PAGES pages and LEAST_SHARE of the host's pages is a template,
-and its subtree is deleted wherever it occurs, but for an article in it. What a page repeats of no other page (an advert seen once, the menu of a host with
+and its subtree is deleted wherever it occurs, but for an article in it. Within an article that
+holds for boxes of at most SMALL characters on at least LEAST_INSIDE pages, not for single
+paragraphs, headings, list items or table cells, and not if more than MOST_INSIDE of the article's text would go: such an
+article is an edited copy of others. What a page repeats of no other page (an advert seen once, the menu of a host with
 two pages) is then caught by what an element is: by its tag, its role, its class and id.
-The text of the article is what remains; a page without one keeps all that remains.
+All that remains is the text, also beside an article, where the host has the LEAST_PAGES pages
+that templates are told by; on other hosts only the article, if there is one.
 
 A host's templates are at most 1 / LEAST_SHARE times the elements of a page, so they travel
 as one array per host: broadcast if the checked number of hashes is small, else by a join
@@ -33,6 +37,7 @@ from pyspark.sql import types as T
 from lexiband.llm.common import kept
 
 LEAST_PAGES, LEAST_SHARE, BROADCAST_HASHES = 5, 0.02, 1_000_000
+LEAST_INSIDE, SMALL, MOST_INSIDE = 10, 400, 0.5
 
 # Fixed values of the HTML standard: elements without content, with raw text, and blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +73,7 @@ FURNITURE_NAMES = re.compile(
 PAGE_NAMES = frozenset(["header", "topbar"])  # furniture outside an article; inside, its heading
 ABOUT = frozenset("has have with without no not".split())  # "has-sidebar" tells of a sidebar and is none
 CONTENT = frozenset(["article", "main"])
+INSIDE = frozenset("div section ul ol aside address figure center details".split())  # may be templates in an article
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -116,15 +122,15 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 class Element:
-    __slots__ = ("tag", "furniture", "content", "hash", "blocks", "template")
+    __slots__ = ("tag", "furniture", "content", "hash", "blocks", "start")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag = tag
         self.furniture = is_furniture(tag, attributes, parent)
         self.content = tag in CONTENT or (parent is not None and parent.content)
         self.hash = xxhash.xxh64(f"<{tag} {attributes.strip()}>".encode("utf-8", "surrogatepass"))
-        self.blocks: list[tuple[str, bool]] = []
-        self.template = False
+        self.blocks: list[tuple[str, bool, bool]] = []  # text, in an article, recurring there
+        self.start = 0  # of its text among the open block's
 
 
 def is_furniture(tag: str, attributes: str, parent: Element | None) -> bool:
@@ -160,9 +166,11 @@ def signed(digest: xxhash.xxh64) -> int:
 
 
 class Page:
-    """One reading of a page: the hashes of the elements outside the article, and the text."""
+    """One reading of a page: the hashes of its elements, and the text. `templates` is None for
+    a host with too few pages to tell any."""
 
-    def __init__(self, page: str, templates: frozenset[int] = frozenset()):
+    def __init__(self, page: str, templates: frozenset[int] | None = None):
+        self.host_known, templates = templates is not None, templates or frozenset()
         self.templates, self.hashes = templates, set()
         self.all_text = xxhash.xxh64()
         self.stack = [Element("#page", "", None)]
@@ -178,9 +186,14 @@ class Page:
             self._pop()
         self._end_block()
         blocks = self.stack[0].blocks
-        article = [text for text, inside in blocks if inside]
+        article = [text for text, inside, _ in blocks if inside]
+        recurring = sum(len(text) for text, _, again in blocks if again)
+        if recurring <= MOST_INSIDE * sum(map(len, article)):
+            blocks = [block for block in blocks if not block[2]]
+        if article and not self.host_known:
+            blocks = [block for block in blocks if block[1]]
         self.digest = signed(self.all_text)
-        self.text = "\n".join(article or [text for text, _ in blocks])
+        self.text = "\n".join(block[0] for block in blocks)
 
     def _text(self, value: str) -> None:
         top = self.stack[-1]
@@ -203,6 +216,7 @@ class Page:
         parent = self.stack[-1]
         element = Element(tag, attributes, parent)
         element.furniture |= parent.furniture
+        element.start = len(self.inline)
         self.stack.append(element)
 
     def _end_implied(self, tag: str) -> None:
@@ -227,10 +241,14 @@ class Page:
                 return
 
     def _end_block(self) -> None:
+        if not self.inline:
+            return
         text = " ".join("".join(self.inline).split())
         self.inline.clear()
+        for element in self.stack:
+            element.start = 0
         if text:
-            self.stack[-1].blocks.append((text, self.stack[-1].content))
+            self.stack[-1].blocks.append((text, self.stack[-1].content, False))
 
     def _pop(self) -> None:
         if self.stack[-1].tag in BLOCKS:
@@ -239,19 +257,24 @@ class Page:
         key = signed(element.hash)
         parent = self.stack[-1]
         parent.hash.update(element.hash.digest())
-        outside = not element.content and element.tag not in ("html", "body")
-        if outside:
-            self.hashes.add(key)
-        if not (outside and key in self.templates):
-            parent.blocks.extend(element.blocks)
-            return
-        parent.blocks.extend(block for block in element.blocks if block[1])
-        if element.tag not in BLOCKS:
-            self.inline.clear()
+        blocks = element.blocks
+        if element.content:
+            if element.tag in INSIDE and blocks and sum(len(block[0]) for block in blocks) <= SMALL:
+                self.hashes.add(key | 1)
+                if key | 1 in self.templates:
+                    blocks = [(text, inside, True) for text, inside, _ in blocks]
+        elif element.tag not in ("html", "body"):
+            self.hashes.add(key & ~1)
+            if key & ~1 in self.templates:
+                blocks = [block for block in blocks if block[1]]
+                if element.tag not in BLOCKS:
+                    del self.inline[element.start :]
+        parent.blocks.extend(blocks)
 
 
 def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
-    """host, hash and page, the digest of its text, once for each; a null hash stands for the page."""
+    """host, hash and page, the digest of its text, once for each; a null hash stands for the page.
+    Hashes within an article are odd, others even."""
 
     def hashed(batches):
         for batch in batches:
@@ -272,16 +295,17 @@ def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
 
 
 def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """host and `hashes`, the subtrees that recur on its pages."""
+    """host and `hashes`, the subtrees that recur on its pages, for hosts with enough pages."""
     counts = kept(page_hashes(pages, html, url).groupBy("host", "hash").agg(F.count("*").alias("n")).where(
         F.col("hash").isNull() | (F.col("n") >= LEAST_PAGES)
     ))
-    sizes = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"))
-    enough = F.greatest(F.lit(LEAST_PAGES), F.col("pages") * LEAST_SHARE)
+    sizes = counts.where("hash IS NULL AND n >= %d" % LEAST_PAGES).select("host", F.col("n").alias("pages"))
+    least = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 1, LEAST_INSIDE).otherwise(LEAST_PAGES)
+    enough = F.greatest(least, F.col("pages") * LEAST_SHARE)
+    # The row of a null hash is the host's own and adds nothing to the list.
     return (
-        counts.where("hash IS NOT NULL")
-        .join(sizes, "host")
-        .where(F.col("n") >= enough)
+        counts.join(sizes, "host")
+        .where(F.col("hash").isNull() | (F.col("n") >= enough))
         .groupBy("host")
         .agg(F.collect_list("hash").alias("hashes"))
     )
@@ -297,7 +321,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tupl
     schema = T.StructType([rows.schema["page"], T.StructField("text", T.StringType())])
 
     def extracted(batches):
-        sets: dict[str, frozenset[int]] = {}
+        sets: dict[str, frozenset[int] | None] = {}
         for batch in batches:
             hosts, found = batch.column("host").to_pylist(), batch.column("hashes")
             texts = []
@@ -305,7 +329,8 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tupl
                 if hosts[row] not in sets:
                     if len(sets) > 1_000:
                         sets.clear()
-                    sets[hosts[row]] = frozenset(found[row].as_py() or ())
+                    known_ = found[row].as_py()
+                    sets[hosts[row]] = None if known_ is None else frozenset(known_)
                 texts.append(Page(page or "", sets[hosts[row]]).text)
             yield pa.RecordBatch.from_arrays([batch.column("page"), pa.array(texts, pa.string())], names=["page", "text"])
 

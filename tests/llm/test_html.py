@@ -83,3 +83,24 @@ def test_copies_of_a_page_keep_their_text(spark):
     # Pages with other menus, so that the wrapper of the article does recur.
     varied = [f"<body><nav>menu {i}</nav>{wrapped}</body>" for i in range(10)]
     assert texts_of(spark, *varied) == ["the story"] * 10
+
+
+def test_what_recurs_within_an_article_goes(spark):
+    story = "<h2>Background</h2><p>story {0} of many words, {0} of them told here</p><ul><li>a cup</ul><p>and so on {0}</p>"
+    pages = [f"<main>{story.format(i)}<div class=x><p>Get our letter</p></div></main>" for i in range(20)]
+    found = texts_of(spark, *pages)
+    assert all("Get our letter" not in text and f"and so on {i}" in text for i, text in enumerate(found))
+    assert found[7].startswith("Background\nstory 7")
+    # Edited copies of one story keep it.
+    edited = [f"<article><p>the same story, long enough</p><p>edit {i}</p></article>" for i in range(20)]
+    assert texts_of(spark, *edited) == [f"the same story, long enough\nedit {i}" for i in range(20)]
+
+
+def test_a_story_beside_teaser_articles_stays(spark):
+    pages = [f"<div class=m>menu</div><div class=lead><p>story {i}</p></div><article><p>teaser {i}</p></article>" for i in range(9)]
+    assert texts_of(spark, *pages) == [f"story {i}\nteaser {i}" for i in range(9)]
+
+
+def test_an_inline_template_leaves_the_text_before_it():
+    page = "<div><p>see <a href=x>here</a> more</p></div>"
+    assert html.Page(page, frozenset(html.Page("<a href=x>here</a>").hashes)).text == "see more"
