@@ -2,8 +2,8 @@
 
 Every element of a page is hashed with all it holds, one within an article apart from others. Spark
 counts on how many pages of a host each hash occurs, copies of a page, told by all its text,
-as one; a hash on at least LEAST_PAGES pages and LEAST_SHARE of the host's pages is a template,
-and its subtree is deleted wherever it occurs, but for an article in it. Within an article that
+as one; a hash on at least LEAST_PAGES pages, and of a host with more pages on LEAST_SHARE of
+them or on the square root of their number, whichever is less, is a template, and its subtree is deleted wherever it occurs, but for an article in it. Within an article that
 holds for boxes of at most SMALL characters on at least LEAST_INSIDE pages, not for single
 paragraphs, headings, list items or table cells, and not if more than MOST_INSIDE of the article's text would go: such an
 article is an edited copy of others. What a page repeats of no other page (an advert seen once, the menu of a host with
@@ -11,9 +11,10 @@ two pages) is then caught by what an element is: by its tag, its role, its class
 All that remains is the text, also beside an article, where the host has the LEAST_PAGES pages
 that templates are told by; on other hosts only the article, if there is one.
 
-A host's templates are at most 1 / LEAST_SHARE times the elements of a page, so they travel
-as one array per host: broadcast if the checked number of hashes is small, else by a join
-that AQE splits for a host with many pages. Hashes meet in the shuffle by host, hash and page, so
+A host's templates travel as one array per host, broadcast, if they are at most HOST_HASHES
+for every host and BROADCAST_HASHES in all. Else the templates are joined by host and hash to
+the hashes of each page, and a page meets those of its own by host and digest, in joins that
+AQE splits for a host with many pages. Hashes meet in the shuffle by host, hash and page, so
 that a hash on all pages of a host is in many tasks.
 
 Defined results: null html is empty and gives an empty text. A null or broken url is of the
@@ -37,6 +38,7 @@ from pyspark.sql import types as T
 from lexiband.llm.common import kept
 
 LEAST_PAGES, LEAST_SHARE, BROADCAST_HASHES = 5, 0.02, 1_000_000
+HOST_HASHES = 5_000
 LEAST_INSIDE, SMALL, MOST_INSIDE = 10, 400, 0.5
 
 # Fixed values of the HTML standard: elements without content, with raw text, and blocks.
@@ -295,29 +297,46 @@ def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
 
 
 def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """host and `hashes`, the subtrees that recur on its pages, for hosts with enough pages."""
+    """host and hash of the subtrees that recur on the pages of hosts with enough of them, and a
+    row with a null hash for each such host."""
     counts = kept(page_hashes(pages, html, url).groupBy("host", "hash").agg(F.count("*").alias("n")).where(
         F.col("hash").isNull() | (F.col("n") >= LEAST_PAGES)
     ))
     sizes = counts.where("hash IS NULL AND n >= %d" % LEAST_PAGES).select("host", F.col("n").alias("pages"))
     least = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 1, LEAST_INSIDE).otherwise(LEAST_PAGES)
-    enough = F.greatest(least, F.col("pages") * LEAST_SHARE)
-    # The row of a null hash is the host's own and adds nothing to the list.
-    return (
-        counts.join(sizes, "host")
-        .where(F.col("hash").isNull() | (F.col("n") >= enough))
-        .groupBy("host")
-        .agg(F.collect_list("hash").alias("hashes"))
-    )
+    enough = F.greatest(least, F.least(F.col("pages") * LEAST_SHARE, F.sqrt("pages")))
+    return counts.join(sizes, "host").where(F.col("hash").isNull() | (F.col("n") >= enough)).select("host", "hash")
+
+
+def with_digests(rows: DataFrame) -> DataFrame:
+    """`rows` with the digests by which `page_hashes` tells pages."""
+
+    def digested(batches):
+        for batch in batches:
+            digests = [Page(html_ or "").digest for html_ in batch.column("html").to_pylist()]
+            yield batch.append_column("digest", pa.array(digests, pa.int64()))
+
+    return rows.mapInArrow(digested, T.StructType([*rows.schema.fields, T.StructField("digest", T.LongType())]))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns `keep`, `text` and `n_chars` of every page."""
     known = kept(templates(pages, html, url))
-    hashes = known.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0)).alias("n")).first()["n"]
     rows = pages.select(
         F.struct(*(F.col(name) for name in keep)).alias("page"), host(url).alias("host"), F.col(html).alias("html")
-    ).join(F.broadcast(known) if hashes <= BROADCAST_HASHES else known, "host", "left")
+    )
+    counts = known.groupBy("host").agg(F.count("hash").alias("n"))
+    found = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("all")).first()
+    by_host = found["most"] <= HOST_HASHES and found["all"] <= BROADCAST_HASHES
+    # The null hash of a known host adds nothing to the lists.
+    if by_host:
+        hashes = known.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+        rows = rows.join(F.broadcast(hashes), "host", "left")
+    else:
+        seen = page_hashes(pages, html, url).alias("seen")
+        same = (F.col("seen.host") == F.col("known.host")) & F.col("seen.hash").eqNullSafe(F.col("known.hash"))
+        own = seen.join(known.alias("known"), same).groupBy("seen.host", F.col("seen.page").alias("digest"))
+        rows = with_digests(rows).join(own.agg(F.collect_list("known.hash").alias("hashes")), ["host", "digest"], "left")
     schema = T.StructType([rows.schema["page"], T.StructField("text", T.StringType())])
 
     def extracted(batches):
@@ -326,7 +345,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tupl
             hosts, found = batch.column("host").to_pylist(), batch.column("hashes")
             texts = []
             for row, page in enumerate(batch.column("html").to_pylist()):
-                if hosts[row] not in sets:
+                if not by_host or hosts[row] not in sets:
                     if len(sets) > 1_000:
                         sets.clear()
                     known_ = found[row].as_py()

@@ -104,3 +104,20 @@ def test_a_story_beside_teaser_articles_stays(spark):
 def test_an_inline_template_leaves_the_text_before_it():
     page = "<div><p>see <a href=x>here</a> more</p></div>"
     assert html.Page(page, frozenset(html.Page("<a href=x>here</a>").hashes)).text == "see more"
+
+
+def test_a_template_need_not_be_on_a_share_of_a_large_host(spark):
+    """Of 10,000 pages 150 have the section's menu: less than a fiftieth, more than the root."""
+    pages = spark.range(10_000).selectExpr(
+        "id AS page_id", "'http://a.example/' AS url",
+        "concat(if(id < 150, '<div>section menu</div>', ''), '<div><p>story ', id, '</p></div>') AS html",
+    )
+    found = html.main_text(pages).where("text <> concat('story ', page_id)")
+    assert found.count() == 0
+
+
+@pytest.mark.parametrize("bound", ["HOST_HASHES", "BROADCAST_HASHES"])
+def test_pages_meet_their_own_hashes_beyond_a_bound(spark, monkeypatch, bound):
+    monkeypatch.setattr(html, bound, 0)
+    test_a_story_beside_teaser_articles_stays(spark)
+    test_copies_of_a_page_keep_their_text(spark)
