@@ -10,6 +10,7 @@ from lexiband.llm import (
     chat,
     content_sort,
     html,
+    manifest,
     mixing,
     packing,
     sharding,
@@ -110,6 +111,10 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.document_proofs(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     op1_mix_sources,
     op2_simhash,
@@ -121,6 +126,7 @@ QUERIES = [
     op8_perspectives,
     op9_compression_toxicity,
     op10_section_tokens,
+    op12_merkle_rollup,
 ]
 
 
@@ -164,7 +170,73 @@ def _mixing_sql() -> str:
     FROM docs d JOIN chances c USING (source, lang, topic)"""
 
 
+def _manifest_sql(levels: int = 7, group_levels: int = 3) -> str:
+    """The levels of the two trees, written out one after the other."""
+
+    def written(value: str) -> str:
+        return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(written, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+    def tree(name: str, nodes: str, key: str, count: int) -> str:
+        steps, last = [], nodes
+        for i in range(count):
+            steps.append(
+                f"{name}{i} AS MATERIALIZED (SELECT {key}, i, digest, n,"
+                f" CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING"
+                f" AND 1 PRECEDING), '') END AS before,"
+                f" CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND"
+                f" UNBOUNDED FOLLOWING), '') END AS after FROM"
+                f" (SELECT {key}, i, digest, count(*) OVER (PARTITION BY {key}) AS n FROM {last})"
+                f" WINDOW run AS (PARTITION BY {key}, i // 8 ORDER BY i))"
+            )
+            steps.append(
+                f"{name}{i}_up AS MATERIALIZED (SELECT {key}, i // 8 AS i, CASE WHEN max(n) > 1"
+                f" THEN sha256(string_agg(digest, '' ORDER BY i)) ELSE max(digest) END AS digest"
+                f" FROM {name}{i} GROUP BY {key}, i // 8)"
+            )
+            last = f"{name}{i}_up"
+        return ",\n".join(steps)
+
+    places = [f"l{i}" for i in range(levels)] + [f"g{i}" for i in range(group_levels)]
+    joins = "\n".join(
+        [f"JOIN l{i} ON l{i}.lang_key = r.lang_key AND l{i}.i = r.i // {8**i}" for i in range(levels)]
+        + [f"JOIN g{i} ON g{i}.i = s.i // {8**i}" for i in range(group_levels)]
+    )
+    proof = " || ".join(f"coalesce({place}.before || {place}.after, '')" for place in places)
+    folds, fold = [], "coalesce(r.forged, r.digest)"
+    for place in places:
+        step = f"sha256({place}.before || {fold} || {place}.after)"
+        folds.append(f"CASE WHEN {place}.before IS NULL THEN {fold} ELSE {step} END AS f_{place}")
+        fold = f"f_{place}"
+    return f"""
+    WITH docs AS MATERIALIZED (
+      SELECT doc_id, coalesce('=' || lang, '') AS lang_key, {leaf('text')} AS digest,
+             CASE WHEN xor(4294967295, list_reduce(
+                    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                                    lambda c: ascii(c)::BIGINT)),
+                    lambda held, byte: list_reduce([xor(held, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                      lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))) % 3 = 0
+                  THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+             END AS forged
+      FROM documents),
+    r AS MATERIALIZED (
+      SELECT *, row_number() OVER (PARTITION BY lang_key ORDER BY doc_id NULLS FIRST, digest) - 1 AS i FROM docs),
+    {tree('l', 'r', 'lang_key', levels)},
+    subroots AS MATERIALIZED (
+      SELECT lang_key, digest, row_number() OVER (ORDER BY lang_key) - 1 AS i, 0 AS whole FROM l{levels - 1}_up),
+    {tree('g', 'subroots', 'whole', group_levels)}
+    SELECT doc_id, leaf, subroot, root, proof_sha256, {fold} AS folded_root, {fold} = root AS verified
+    FROM (
+      SELECT r.doc_id, r.digest AS leaf, s.digest AS subroot, (SELECT digest FROM g{group_levels - 1}_up) AS root,
+             sha256({proof}) AS proof_sha256, {', '.join(folds)}
+      FROM r JOIN subroots s ON s.lang_key = r.lang_key
+      {joins})"""
+
+
 ORACLE_SQL = {
+    "op12_merkle_rollup": _manifest_sql(),
     "op1_mix_sources": _mixing_sql(),
     "op3_content_sort": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
