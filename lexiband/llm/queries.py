@@ -13,6 +13,7 @@ from lexiband.llm import (
     manifest,
     mixing,
     packing,
+    quality,
     sharding,
     simhash,
     sketches,
@@ -115,6 +116,10 @@ def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.document_proofs(_table(spark, sf_dir, "documents"))
 
 
+def op13_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = [
     op1_mix_sources,
     op2_simhash,
@@ -127,6 +132,7 @@ QUERIES = [
     op9_compression_toxicity,
     op10_section_tokens,
     op12_merkle_rollup,
+    op13_ftrl_quality,
 ]
 
 
