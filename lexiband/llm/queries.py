@@ -13,6 +13,7 @@ from lexiband.llm import (
     manifest,
     mixing,
     packing,
+    phrases,
     quality,
     sharding,
     simhash,
@@ -112,6 +113,10 @@ def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op11_fm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.document_proofs(_table(spark, sf_dir, "documents"))
 
@@ -131,6 +136,7 @@ QUERIES = [
     op8_perspectives,
     op9_compression_toxicity,
     op10_section_tokens,
+    op11_fm_phrases,
     op12_merkle_rollup,
     op13_ftrl_quality,
 ]
@@ -241,7 +247,42 @@ def _manifest_sql(levels: int = 7, group_levels: int = 3) -> str:
       {joins})"""
 
 
+def _phrases_sql() -> str:
+    """All phrases of two and three words are counted; products are of 128 bits."""
+    square = "1000000 * CAST(a AS HUGEINT) * CAST(a AS HUGEINT)"
+    return rf"""
+    WITH pieces AS MATERIALIZED (
+      SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+    places AS MATERIALIZED (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+    n AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+    f1 AS MATERIALIZED (SELECT lang, w[i] AS x, count(*) AS f FROM places GROUP BY ALL),
+    f2 AS MATERIALIZED (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM places WHERE i < len(w) GROUP BY ALL),
+    f3 AS MATERIALIZED (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM places
+                        WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10),
+    covered AS (SELECT lang, x, y, max(f) AS longer FROM (
+                  SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+    cuts AS (
+      SELECT lang, x || ' ' || y AS phrase, c.f AS a, 1 AS k, l.f AS l, r.f AS r
+      FROM f2 c JOIN f1 l USING (lang, x) JOIN f1 r ON r.lang = c.lang AND r.x = c.y
+      LEFT JOIN covered USING (lang, x, y) WHERE c.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * c.f)
+      UNION ALL
+      SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 1, l.f, r.f
+      FROM f3 c JOIN f1 l USING (lang, x) JOIN f2 r ON r.lang = c.lang AND r.x = c.y AND r.y = c.z
+      UNION ALL
+      SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 2, l.f, r.f
+      FROM f3 c JOIN f2 l USING (lang, x, y) JOIN f1 r ON r.lang = c.lang AND r.x = c.z),
+    scored AS (SELECT *, CAST(({square}) // (CAST(l AS HUGEINT) * CAST(r AS HUGEINT)) AS BIGINT) AS score FROM cuts),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+
 ORACLE_SQL = {
+    "op11_fm_phrases": _phrases_sql(),
     "op12_merkle_rollup": _manifest_sql(),
     "op1_mix_sources": _mixing_sql(),
     "op3_content_sort": """
