@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 from lexiband.llm.common import kept, small, stored
 from lexiband.operators.ranking import with_rank
 
-WORDS, PART, LONGEST, LEAST, COVERED, BEST, SCALE = 1 << 21, 1 << 20, 3, 10, 50, 2000, 1_000_000
+WORDS, PART, LONGEST, LEAST, COVERED, BEST, SCALE = 1 << 20, 1 << 20, 3, 10, 50, 2000, 1_000_000
 UNKNOWN = "und"
 # A-Z in lower case, every mark that ends a piece a line feed, a tab a blank: then white space
 # within a piece is blanks alone.
@@ -76,13 +76,23 @@ class Half:
 
 
 def transformed(row: np.ndarray, size: int, depth: int) -> np.ndarray:
-    """The symbols before the row's suffixes, these sorted by their first `depth` symbols."""
+    """The symbols before the row's suffixes, these sorted by their first `depth` symbols, equals
+    by place."""
+    bits = len(row).bit_length()
     key, bound = row.astype(np.int64), size
     for i in range(1, depth):
-        if bound > (1 << 62) // size:
-            key, bound = np.unique(key, return_inverse=True)[1], len(row)
+        if bound * size >= 1 << (63 - bits):
+            key, bound = ranked(key, bits), len(row)
         key, bound = key * size + np.roll(row, -i), bound * size
-    return np.roll(row, 1)[np.argsort(key, kind="stable")]
+    return np.roll(row, 1)[np.sort((key << bits) + np.arange(len(row))) & ((1 << bits) - 1)]
+
+
+def ranked(key: np.ndarray, bits: int) -> np.ndarray:
+    """Each key's rank among the distinct ones. Key and place in one number sort fastest."""
+    places = np.sort((key << bits) + np.arange(len(key)))
+    out = np.empty_like(key)
+    out[places & ((1 << bits) - 1)] = np.cumsum(np.diff(places >> bits, prepend=-1) > 0) - 1
+    return out
 
 
 class Index:
@@ -144,7 +154,7 @@ class Shard:
 
     def indexed(self, shard: int, group: str, depth: int) -> pa.RecordBatch:
         row, size = np.frombuffer(self.row, np.int32), len(self.numbers) + 1
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=1).compress
         halves = [pack(transformed(one, size, depth).tobytes()) for one in (row, row[::-1])]
         counts = np.bincount(row, minlength=size)[1:]
         columns = [
@@ -176,9 +186,9 @@ def shards(docs: DataFrame, text: str, group: Column, depth: int = LONGEST, word
         open_: dict[str, Shard] = {}
         number, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for name, value in zip(batch.column("grp").to_pylist(), texts):
-                if value:
+            texts = batch.column("text").cast(pa.binary())
+            for i, name in enumerate(batch.column("grp").to_pylist()):
+                if value := texts[i].as_py():
                     shard = open_.setdefault(name, Shard())
                     before = len(shard.row)
                     shard.add(value)
@@ -281,7 +291,7 @@ def frequent_phrases(
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda held, n: held + n)
     sizes = kept(indexes.groupBy("grp").agg(F.sum(total).alias("n")))
     vocabulary, places = counted_words(indexes, least)
-    tables, frequent = [vocabulary.select("w0", "n")], None
+    tables, frequent, base = [vocabulary.select("w0", "n")], None, vocabulary.count() + 1
     for length in range(2, longest + 1):
         found, columns = longer(indexes, places, frequent, length), names(length)
         if length == longest:
@@ -289,8 +299,16 @@ def frequent_phrases(
             tables.append(stored(summed, "phrases"))
             break
         # One row per shard and phrase, so no phrase has more rows than there are shards.
-        sums = found.withColumn("n", F.sum("n").over(Window.partitionBy(*columns)))
-        frequent = stored(sums.where(F.col("n") >= least), "phrases-in-shards")
+        short = base**length < 1 << 63  # then a phrase is one number, which sorts faster
+        if short:
+            code = reduce(lambda held, name: held * F.lit(base) + F.col(name), columns[1:], F.col(columns[0]))
+            found = found.select("shard", code.alias("code"), "n")
+        sums = found.withColumn("n", F.sum("n").over(Window.partitionBy(*(["code"] if short else columns))))
+        sums = sums.where(F.col("n") >= least)
+        if short:
+            digits = {name: F.expr(f"code div {base ** (length - 1 - i)} % {base}") for i, name in enumerate(columns)}
+            sums = sums.withColumns(digits).select("shard", *columns, "n")
+        frequent = stored(sums, "phrases-in-shards")
         tables.append(kept(frequent.groupBy(*columns).agg(F.first("n").alias("n"))))
     return sizes, vocabulary, tables
 

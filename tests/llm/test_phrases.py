@@ -102,8 +102,7 @@ def test_index_against_plain_counting(seed):
 def test_many_symbols_are_sorted_in_steps():
     row = np.concatenate([[0], np.random.default_rng(1).integers(0, 50, 500), [0]]).astype(np.int32)
     plain = phrases.transformed(row, 50, 4)
-    huge = phrases.transformed(row, 1 << 40, 4)
-    assert sorted(plain.tolist()) == sorted(huge.tolist())
+    huge = phrases.transformed(row, 1 << 20, 4)
     order = sorted(range(len(row)), key=lambda i: ([int(row[(i + j) % len(row)]) for j in range(4)], i))
     assert plain.tolist() == huge.tolist() == [int(row[i - 1]) for i in order]
 
