@@ -8,14 +8,14 @@ A feature's value grows with the logarithm of its count, and the values of a tex
 1, so that a long text weighs as much as a short one. A text is scored as the product of this sparse
 row with the weights.
 
-The rows that teach are about LEARNING labelled rows at most, chosen by a hash of their id and
-dealt into PARTS by another. In every one of EPOCHS rounds each part goes on from the common
-state, row by row in the order of a hash: per slot a sum of gradients, corrected for the moves of
+The rows that teach are about LEARNING labelled rows at most, chosen by a hash of their id, kept
+in the order of another, and read by PARTS tasks at most. In every one of EPOCHS rounds each task
+goes on from the common state, row by row: per slot a sum of gradients, corrected for the moves of
 the weight, and a sum of squared gradients, from which follows the weight that minimises the
-regularised sum so far; it is 0 unless the first sum exceeds L1. Spark adds up the parts'
-states and divides by their number, and the mean is the next round's start. A state is bounded
-by SLOTS, whatever the input. The last part teaches nothing: its scores set the offset and the
-slope by which a score of CUT is where the two labels part best.
+regularised sum so far; it is 0 unless the first sum exceeds L1. The tasks' moves, weighed by
+their rows, make the next round's start. What comes to the driver is bounded by PARTS and
+SLOTS, whatever the input. One row in PARTS, by a hash, teaches nothing: its score sets the offset
+and the slope by which a score of CUT is where the two labels part best.
 
 Defined results: null text is empty; a text without words has one feature of its own and gets a
 score like any other. Rows with a null id or label don't teach; of an id with several
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 from lexiband.llm.common import kept, stored, texts_of
 
 WORD = re.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
-SLOTS, LEARNING, PARTS, EPOCHS, CUT = 1 << 20, 40_000, 8, 8, 0.3
+SLOTS, LEARNING, PARTS, EPOCHS, CUT = 1 << 18, 40_000, 8, 8, 0.3
 RATE, SMOOTHING, L1, L2 = 2.0, 1.0, 0.02, 0.01
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _CAPITALS, _AGAIN, _NOTHING = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"capitals", b"again", b"nothing"))
@@ -95,7 +96,7 @@ def start() -> State:
     return State(np.zeros(SLOTS + 1), np.zeros(SLOTS + 1))
 
 
-def learn(state: State, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
+def learn(state: State, rows: Iterable[tuple[np.ndarray, np.ndarray, int]]) -> None:
     """Go on from `state`, which changes, over rows of slots, values and label."""
     gradients, squares = state
     for slots, values, label in rows:
@@ -144,43 +145,49 @@ def learning_rows(docs: DataFrame, labels: DataFrame, learns: Column, text: str,
     texts = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(F.min("_text").alias("_text"))
     order = F.xxhash64(F.lit("order"), F.col("_id"))
-    found = found.select(F.pmod(order, F.lit(PARTS)).cast("int").alias("part"), "label", order.alias("order"), "_text")
+    part = F.pmod(F.shiftright(order, 8), F.lit(PARTS)).cast("int")
+    found = found.select(part.alias("part"), "label", order.alias("order"), "_text").sortWithinPartitions("order", "label")
 
     def read(batches):
         for batch, texts_ in texts_of(batches, "_text"):
             rows_ = [features(value) for value in texts_]
             columns = [batch.column(name) for name in ("part", "label", "order")]
             columns.append(pa.array([slots.astype(np.int32) for slots, _ in rows_], pa.list_(pa.int32())))
-            columns.append(pa.array([values for _, values in rows_], pa.list_(pa.float64())))
+            columns.append(pa.array([values.astype(np.float32) for _, values in rows_], pa.list_(pa.float32())))
             yield pa.RecordBatch.from_arrays(columns, names=["part", "label", "order", "slots", "values"])
 
-    schema = "part int, label int, order long, slots array<int>, values array<double>"
+    schema = "part int, label int, order long, slots array<int>, values array<float>"
     return stored(found.mapInArrow(read, schema), "quality-rows")
 
 
-def _rows(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    table = table.sort_by([("order", "ascending"), ("label", "ascending")]).combine_chunks()
-    slots, values = (table.column(name).to_pylist() for name in ("slots", "values"))
-    labels = table.column("label").to_pylist()
-    return [(np.array(s, np.int64), np.array(v), y) for s, v, y in zip(slots, values, labels)]
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    slots, values = batch.column("slots"), batch.column("values")
+    for i, label in enumerate(batch.column("label").to_pylist()):
+        yield slots[i].values.to_numpy(), values[i].values.to_numpy().astype(np.float64), label
 
 
-def one_round(rows: DataFrame, state: State, teaching: int) -> State:
-    """The mean of the states to which the parts come from `state`."""
+def one_round(rows: DataFrame, state: State) -> State:
+    """The state moved by the mean of what PARTS tasks at most learn from it."""
 
-    def taught(key, table):
-        own = State(state.gradients.copy(), state.squares.copy())
-        learn(own, _rows(table))
-        slots = np.flatnonzero((own.gradients != state.gradients) | (own.squares != state.squares))
-        moved = [own.gradients[slots] - state.gradients[slots], own.squares[slots] - state.squares[slots]]
-        return pa.table({"slot": slots, "gradient": moved[0], "square": moved[1]})
-
-    moves = rows.groupBy("part").applyInArrow(taught, "slot long, gradient double, square double")
-    summed = moves.groupBy("slot").agg(F.sum("gradient").alias("gradient"), F.sum("square").alias("square")).toPandas()
+    def taught(batches):
+        own, taught_rows = State(state.gradients.copy(), state.squares.copy()), 0
+        for batch in batches:
+            learn(own, _rows(batch))
+            taught_rows += batch.num_rows
+        if taught_rows:
+            moves = [own.gradients - state.gradients, own.squares - state.squares]
+            slots = np.flatnonzero((moves[0] != 0) | (moves[1] != 0))
+            columns = [slots.astype(np.int32), *(move[slots].astype(np.float32) for move in moves)]
+            cells = [pa.array([column.tobytes()], pa.binary()) for column in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([taught_rows]), *cells], names=["rows", "slots", "gradients", "squares"])
+
+    told = rows.coalesce(PARTS).mapInArrow(taught, "rows long, slots binary, gradients binary, squares binary").collect()
     gradients, squares = state.gradients.copy(), state.squares.copy()
-    slots = summed["slot"].to_numpy()  # at most SLOTS + 1 of them
-    gradients[slots] += summed["gradient"].to_numpy() / teaching
-    squares[slots] += summed["square"].to_numpy() / teaching
+    total = sum(row["rows"] for row in told)
+    for row in sorted(told):  # in one order, as sums of floats depend on it
+        slots = np.frombuffer(row["slots"], np.int32)
+        gradients[slots] += np.frombuffer(row["gradients"], np.float32) * (row["rows"] / total)
+        squares[slots] += np.frombuffer(row["squares"], np.float32) * (row["rows"] / total)
     return State(gradients, squares)
 
 
@@ -195,10 +202,9 @@ def train(rows: DataFrame) -> Model:
     # Few rows teach and calibrate at once.
     both = len(apart) and 5 <= apart["ones"].sum() <= apart["n"].sum() - 5 and len(sums) > 1
     teachers = rows.where(F.col("part") != last) if both else rows
-    teaching = len(sums) - 1 if both else len(sums)
     state = start()
     for _ in range(EPOCHS):
-        state = one_round(teachers, state, teaching)
+        state = one_round(teachers, state)
     weights = state.weights()
     slots = np.flatnonzero(weights[:SLOTS])
     model = Model(slots, weights[slots], float(weights[SLOTS]), 1.0, 0.0)
@@ -212,8 +218,7 @@ def _calibration(rows: DataFrame, model: Model) -> dict:
     def measured(batches):
         dense = model.dense()
         for batch in batches:
-            slots, values = (batch.column(name).to_pylist() for name in ("slots", "values"))
-            margins = [float(dense[s] @ np.array(v)) + model.constant for s, v in zip(slots, values)]
+            margins = [float(dense[slots] @ values) + model.constant for slots, values, _ in _rows(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(margins, pa.float64())], names=["label", "margin"])
 
     found = rows.select("label", "slots", "values").mapInArrow(measured, "label int, margin double").toPandas()
