@@ -8,10 +8,8 @@ come ranks, and from ranks the interval of a phrase in either index: its length
 count, and the symbols in it are the words that come before (in the reversed index: after) the phrase.
 
 Phrases are found word by word. Words are counted in all shards and summed; those that are
-frequent enough as a whole go back to the shards, which extend them to the right. The pairs
-are summed in turn, and the frequent ones go back and are extended to the left, and so on. As a
-phrase is no more frequent than its parts, nothing is lost, and no shard lists what can't be
-frequent. Sums are exact over all texts.
+frequent enough as a whole go back to the shards, which extend them to the right, in the reversed index. The pairs are summed in turn, and the frequent ones
+go back and are extended to the left, in the other index, and so on. As a phrase is no more frequent than its parts, nothing is lost, and no shard lists what can't be frequent. Sums are exact over all texts.
 
 Bounds: a shard has about WORDS words, as a piece is never cut; a group, whatever its size, is
 many shards. A word or phrase sends one row per shard where it occurs. What goes to
@@ -62,17 +60,21 @@ class Half:
         """The row that a symbol at or after `row` of the transform leads to."""
         return np.searchsorted(self.keys, symbol.astype(np.int64) * (self.rows + 1) + row)
 
-    def extended(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For disjoint intervals: interval, symbol before it, count, the new interval's first row, and how many
-        smaller symbols there are, which is the way into the interval of the other half."""
+    def interval(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of each phrase; its words come in the order in which they are put before one another."""
+        low, high = self.first[phrases[:, 0]], self.first[phrases[:, 0] + 1]
+        for word in phrases.T[1:]:
+            low, high = self.before(word, low), self.before(word, high)
+        return low, high
+
+    def extended(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For disjoint intervals: which, a symbol in it, and how often, which is the size of the
+        interval of the phrase with that symbol before it."""
         sizes = high - low
         which = np.repeat(np.arange(len(low)), sizes)
         rows = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[which]
         found, counts = np.unique(which * self.size + self.symbols[rows], return_counts=True)
-        which, symbol = found // self.size, found % self.size
-        upto = np.cumsum(counts) - counts
-        smaller = upto - upto[np.searchsorted(which, which)] if len(which) else upto
-        return which, symbol, counts, self.before(symbol, low[which]), smaller
+        return found // self.size, found % self.size, counts
 
 
 def transformed(row: np.ndarray, size: int, depth: int) -> np.ndarray:
@@ -96,39 +98,28 @@ def ranked(key: np.ndarray, bits: int) -> np.ndarray:
 
 
 class Index:
-    """Both halves of a shard. `size` is the number of symbols, the 0 between pieces included."""
+    """Both halves of a shard. Words are given as numbers from 1; 0 is between pieces."""
 
-    def __init__(self, forward: np.ndarray, backward: np.ndarray, size: int):
-        self.forward, self.backward, self.size = Half(forward, size), Half(backward, size), size
+    def __init__(self, forward: np.ndarray | None, backward: np.ndarray | None, size: int):
+        self.size = size
+        self.forward, self.backward = (None if half is None else Half(half, size) for half in (forward, backward))
 
     @classmethod
     def of(cls, row: np.ndarray, size: int, depth: int = LONGEST) -> Index:
         return cls(transformed(row, size, depth), transformed(row[::-1], size, depth), size)
 
-    def intervals(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First row in the forward half, first in the backward half, and count of each row of words."""
-        ends = []
-        for half, words in ((self.forward, phrases[:, ::-1]), (self.backward, phrases)):
-            low, high = half.first[words[:, 0]], half.first[words[:, 0] + 1]
-            for i in range(1, words.shape[1]):
-                low, high = half.before(words[:, i], low), half.before(words[:, i], high)
-            ends.append((low, high))
-        return ends[0][0], ends[1][0], ends[0][1] - ends[0][0]
-
-    def left(self, low: np.ndarray, other: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Which interval, the word before it, and the new intervals in both halves."""
-        which, symbol, counts, first, smaller = self.forward.extended(low, low + count)
-        return self._words(which, symbol, first, other[which] + smaller, counts)
-
-    def right(self, low: np.ndarray, other: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Which interval, the word after it, and the new intervals in both halves."""
-        which, symbol, counts, first, smaller = self.backward.extended(other, other + count)
-        return self._words(which, symbol, low[which] + smaller, first, counts)
+    def left(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the distinct phrases (a row of words each), a word before it, and how often."""
+        return self._words(*self.forward.extended(*self.forward.interval(phrases[:, ::-1])))
+
+    def right(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the distinct phrases, a word after it, and how often."""
+        return self._words(*self.backward.extended(*self.backward.interval(phrases)))
 
     @staticmethod
-    def _words(which, symbol, low, other, counts):
+    def _words(which, symbol, counts):
         words = symbol > 0
-        return which[words], symbol[words], low[words], other[words], counts[words]
+        return which[words], symbol[words], counts[words]
 
 
 class Numbers(dict):
@@ -154,8 +145,7 @@ class Shard:
 
     def indexed(self, shard: int, group: str, depth: int) -> pa.RecordBatch:
         row, size = np.frombuffer(self.row, np.int32), len(self.numbers) + 1
-        pack = zstandard.ZstdCompressor(level=1).compress
-        halves = [pack(transformed(one, size, depth).tobytes()) for one in (row, row[::-1])]
+        halves = [packed(transformed(one, size, depth)) for one in (row, row[::-1])]
         counts = np.bincount(row, minlength=size)[1:]
         columns = [
             pa.array([shard], pa.int64()),
@@ -167,6 +157,17 @@ class Shard:
         return pa.RecordBatch.from_arrays(columns, names=["shard", "grp", "words", "counts", "forward", "backward"])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers with their bytes apart, which compresses best."""
+    apart = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(apart).tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def parts(piece: bytes) -> Iterator[bytes]:
     """A long piece in parts that cut no word."""
     while len(piece) > PART:
@@ -214,9 +215,37 @@ def names(length: int) -> list[str]:
     return [f"w{i}" for i in range(length)]
 
 
+def keys(length: int, base: int) -> list[str]:
+    """Columns that a phrase is told by: one number where that fits, as it sorts and travels best."""
+    return ["code"] if base**length < 1 << 63 else names(length)
+
+
+def coded(phrases: np.ndarray, columns: list[str], base: int) -> list[np.ndarray]:
+    """The columns of `keys`."""
+    length = phrases.shape[1]
+    if len(columns) == length:
+        return list(phrases.T)
+    return [phrases @ np.array([base**i for i in reversed(range(length))], np.int64)]
+
+
+def decoded(table: pa.Table, columns: list[str], length: int, base: int) -> np.ndarray:
+    values = [table.column(name).to_numpy() for name in columns]
+    if len(values) < length:
+        values = [values[0] // base**i % base for i in reversed(range(length))]
+    return np.stack(values, 1)
+
+
+def told_by_words(phrases: DataFrame, length: int, base: int) -> DataFrame:
+    """w0, w1, ..., n"""
+    if len(keys(length, base)) == length:
+        return phrases.select(*names(length), "n")
+    words = [F.expr(f"code div {base ** (length - 1 - i)}L % {base}L").alias(name) for i, name in enumerate(names(length))]
+    return phrases.select(*words, "n")
+
+
 def counted_words(indexes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(w0, grp, word, n) of the frequent words of all shards, numbered by frequency, and where they
-    are: (shard, own, w0), `own` being the shard's number for it."""
+    """(w0, grp, word, n) of the frequent words of all shards, numbered by frequency, and, a row
+    a shard, (shard, number): the vocabulary's for each of the shard's own, 0 for none."""
     words = indexes.select("shard", "grp", F.posexplode(F.arrays_zip("words", "counts")).alias("own", "at")).select(
         "shard", "grp", (F.col("own") + 1).alias("own"), F.col("at.words").alias("word"), F.col("at.counts").alias("n")
     )
@@ -224,41 +253,52 @@ def counted_words(indexes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
     ranked = with_rank(sums.withColumnRenamed("n", "count"), [F.desc("count"), F.asc("grp"), F.asc("word")])
     vocabulary = stored(ranked.select(F.col("rank").alias("w0"), "grp", "word", F.col("count").alias("n")), "phrase-words")
     known = small(vocabulary.select("grp", "word", "w0"))
-    return vocabulary, stored(words.join(known, ["grp", "word"]).select("shard", "own", "w0"), "phrase-places")
-
-
-def longer(indexes: DataFrame, places: DataFrame, frequent: DataFrame | None, length: int) -> DataFrame:
-    """shard, w0, ..., n: the phrases of `length` words in each shard of which all words, and both
-    parts that are one word shorter, are frequent. `frequent` has those parts per shard."""
-    columns, shorter = names(length), names(length - 1)
-    from_words = frequent is None
-    told = places.select("shard", "own", *(F.col("w0") if name == "w0" else F.lit(None).cast("long").alias(name) for name in shorter))
-    if not from_words:
-        told = told.unionByName(frequent.select("shard", F.lit(None).cast("int").alias("own"), *shorter))
-
-    def found(key, index, told):
-        own = told.column("own").combine_chunks()
-        words = told.filter(own.is_valid())
-        phrases, counts = np.empty((0, length), np.int64), np.empty(0, np.int64)
-        if index.num_rows and words.num_rows:
-            number = np.zeros(len(index.column("words")[0]) + 1, np.int64)
-            number[words.column("own").to_numpy()] = words.column("w0").to_numpy()
-            given = told.filter(own.is_null())
-            given = None if from_words else np.stack([given.column(name).to_numpy() for name in shorter], 1)
-            phrases, counts = extended(_index(index, len(number)), number, given)
-        return pa.table(
-            {"shard": np.full(len(counts), key[0].as_py()), **dict(zip(columns, phrases.T)), "n": counts.astype(np.int64)}
-        )
 
-    schema = "shard long, " + ", ".join(f"{name} long" for name in columns) + ", n long"
-    rows = indexes.select("shard", "words", "forward", "backward").groupBy("shard")
-    return rows.cogroup(told.groupBy("shard")).applyInArrow(found, schema)
+    def gathered(key, table):
+        own, numbers = table.column("own").to_numpy(), table.column("w0").to_numpy()
+        number = np.zeros(own.max() + 1, np.int64)
+        number[own] = numbers
+        return pa.table({"shard": [key[0].as_py()], "number": pa.array([packed(number)], pa.binary())})
+
+    places = words.join(known, ["grp", "word"]).select("shard", "own", "w0").groupBy("shard")
+    return vocabulary, stored(places.applyInArrow(gathered, "shard long, number binary"), "phrase-numbers")
+
+
+def longer(indexes: DataFrame, numbers: DataFrame, frequent: DataFrame | None, length: int, base: int) -> DataFrame:
+    """shard, the phrase, n: the phrases of `length` words in each shard of which all words, and both
+    parts that are one word shorter, are frequent. `frequent` has those parts per shard; without
+    it they are the words."""
+    side = "backward" if frequent is None else "forward"
+    rows = indexes.select("shard", F.size("words").alias("size"), F.col(side).alias("half")).join(numbers, "shard")
+    told, shorter = keys(length, base), keys(length - 1, base)
+    columns = ["shard", *told, "n"]
+    schema = ", ".join(f"{name} long" for name in columns)
+
+    def found(index, given):
+        size = index.column("size")[0].as_py() + 1
+        half, some = (unpacked(index.column(name)[0].as_py(), kind) for name, kind in (("half", np.int32), ("number", np.int64)))
+        number = np.zeros(size, np.int64)
+        number[: len(some)] = some
+        one = Index(None, half, size) if given is None else Index(half, None, size)
+        phrases, counts = extended(one, number, given)
+        values = [np.full(len(counts), index.column("shard")[0].as_py()), *coded(phrases, told, base), counts]
+        return pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)) for value in values], names=columns)
+
+    if frequent is None:
+
+        def from_words(batches):
+            for batch in batches:
+                yield from (found(batch.slice(i, 1), None) for i in range(batch.num_rows))
+
+        return rows.mapInArrow(from_words, schema)
 
+    def from_parts(index, given):
+        if not index.num_rows or not given.num_rows:
+            return pa.schema([(name, pa.int64()) for name in columns]).empty_table()
+        return pa.Table.from_batches([found(index, decoded(given, shorter, length - 1, base))])
 
-def _index(table: pa.Table, size: int) -> Index:
-    unpack = zstandard.ZstdDecompressor().decompress
-    halves = [np.frombuffer(unpack(table.column(name)[0].as_py()), np.int32) for name in ("forward", "backward")]
-    return Index(*halves, size)
+    parts_ = frequent.select("shard", *shorter)
+    return rows.groupBy("shard").cogroup(parts_.groupBy("shard")).applyInArrow(from_parts, schema)
 
 
 def extended(index: Index, number: np.ndarray, given: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -266,12 +306,12 @@ def extended(index: Index, number: np.ndarray, given: np.ndarray | None) -> tupl
     `number` has the vocabulary's for each of the shard's own, 0 for none."""
     known = np.flatnonzero(number)
     if given is None:  # words, to the right
-        which, symbol, _, _, counts = index.right(*index.intervals(known[:, None]))
+        which, symbol, counts = index.right(known[:, None])
         wanted = number[symbol] > 0
         return np.stack([number[known[which]], number[symbol]], 1)[wanted], counts[wanted]
     order = known[np.argsort(number[known])]
     own = order[np.searchsorted(number[order], given)]
-    which, symbol, _, _, counts = index.left(*index.intervals(own))
+    which, symbol, counts = index.left(own)
     wanted = number[symbol] > 0
     which, symbol, counts = which[wanted], symbol[wanted], counts[wanted]
     if index.size ** given.shape[1] < 1 << 62:  # the part without the last word is frequent as well
@@ -290,26 +330,19 @@ def frequent_phrases(
     indexes = shards(docs, text, group, longest, words)
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda held, n: held + n)
     sizes = kept(indexes.groupBy("grp").agg(F.sum(total).alias("n")))
-    vocabulary, places = counted_words(indexes, least)
+    vocabulary, numbers = counted_words(indexes, least)
     tables, frequent, base = [vocabulary.select("w0", "n")], None, vocabulary.count() + 1
     for length in range(2, longest + 1):
-        found, columns = longer(indexes, places, frequent, length), names(length)
+        found, columns = longer(indexes, numbers, frequent, length, base), keys(length, base)
         if length == longest:
             summed = found.groupBy(*columns).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-            tables.append(stored(summed, "phrases"))
+            tables.append(stored(told_by_words(summed, length, base), "phrases"))
             break
         # One row per shard and phrase, so no phrase has more rows than there are shards.
-        short = base**length < 1 << 63  # then a phrase is one number, which sorts faster
-        if short:
-            code = reduce(lambda held, name: held * F.lit(base) + F.col(name), columns[1:], F.col(columns[0]))
-            found = found.select("shard", code.alias("code"), "n")
-        sums = found.withColumn("n", F.sum("n").over(Window.partitionBy(*(["code"] if short else columns))))
-        sums = sums.where(F.col("n") >= least)
-        if short:
-            digits = {name: F.expr(f"code div {base ** (length - 1 - i)} % {base}") for i, name in enumerate(columns)}
-            sums = sums.withColumns(digits).select("shard", *columns, "n")
-        frequent = stored(sums, "phrases-in-shards")
-        tables.append(kept(frequent.groupBy(*columns).agg(F.first("n").alias("n"))))
+        same = Window.partitionBy(*columns)
+        sums = found.withColumns({"n": F.sum("n").over(same), "once": F.col("shard") == F.min("shard").over(same)})
+        frequent = stored(sums.where(F.col("n") >= least), "phrases-in-shards")
+        tables.append(told_by_words(frequent.where("once"), length, base))
     return sizes, vocabulary, tables
 
 

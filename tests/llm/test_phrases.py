@@ -82,21 +82,22 @@ def test_index_against_plain_counting(seed):
     def count(phrase):
         return sum(text[i : i + len(phrase)] == list(phrase) for i in range(len(text)))
 
-    def reached(low, other, counts, shown):
-        """An interval found step by step is that of the phrase looked up as a whole."""
-        again = index.intervals(np.array(shown))
-        assert [x.tolist() for x in again] == [low.tolist(), other.tolist(), counts.tolist()]
-        assert counts.tolist() == [count(phrase) for phrase in shown]
-
-    shown = [[w] for w in range(1, 6)]
-    low, other, counts = index.intervals(np.array(shown))
+    shown = np.arange(1, 6)[:, None]
     for step in ("right", "left", "right"):
-        before = shown
-        which, word, low, other, counts = getattr(index, step)(low, other, counts)
-        shown = [before[i] + [w] if step == "right" else [w] + before[i] for i, w in zip(which.tolist(), word.tolist())]
-        reached(low, other, counts, shown)
-        every = {tuple(text[i : i + len(shown[0])]) for i in range(len(text) - len(shown[0]) + 1)}
-        assert {tuple(x) for x in shown} == {x for x in every if 0 not in x}
+        which, word, counts = getattr(index, step)(shown)
+        sides = [shown[which], word[:, None]] if step == "right" else [word[:, None], shown[which]]
+        shown = np.concatenate(sides, 1)
+        for half, phrases_ in ((index.forward, shown[:, ::-1]), (index.backward, shown)):
+            low, high = half.interval(phrases_)
+            assert (high - low).tolist() == counts.tolist() == [count(phrase) for phrase in shown.tolist()]
+        every = {tuple(text[i : i + shown.shape[1]]) for i in range(len(text) - shown.shape[1] + 1)}
+        assert {tuple(x) for x in shown.tolist()} == {x for x in every if 0 not in x}
+
+
+def test_numbers_survive_packing():
+    for kind in (np.int32, np.int64):
+        values = np.array([0, 1, -1, 2**31 - 1, 77], kind)
+        assert phrases.unpacked(phrases.packed(values), kind).tolist() == values.tolist()
 
 
 def test_many_symbols_are_sorted_in_steps():
@@ -113,6 +114,12 @@ def test_against_a_plain_model(spark, longest, words):
     assert found(spark, docs, longest=longest, least=4, words=words) == expected(docs, longest, 4)
 
 
+def test_phrases_that_one_number_does_not_hold(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "keys", lambda length, base: phrases.names(length))
+    docs = invented(5)
+    assert found(spark, docs, least=4, words=100) == expected(docs, 3, 4)
+
+
 def test_best_ties_and_cover(spark):
     docs = invented(9, n=120)
     for best, covered in ((5, 50), (2000, 90), (3, 1)):
