@@ -56,6 +56,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def pieces(batches: Iterable, rows: int = 512) -> Iterator:
+    """The batches in smaller ones, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        yield from (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def texts_of(batches: Iterable, column: str) -> Iterator:
     """Each Arrow batch that has rows, with the texts of `column`; null counts as empty."""
     for batch in batches:

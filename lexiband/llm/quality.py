@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiband.llm.common import kept, stored, texts_of
+from lexiband.llm.common import kept, pieces, stored, texts_of
 
 WORD = re.compile(r"[^\W\d_]+|\d+|([^\w\s]|_)\1*")
 SLOTS, LEARNING, PARTS, EPOCHS, CUT = 1 << 18, 40_000, 8, 8, 0.3
@@ -47,13 +47,13 @@ _CAPITALS, _AGAIN, _NOTHING = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"
 
 
 class Words(dict):
-    """Word to its hash and whether it is in capitals, remembered up to a bound."""
+    """Word to its hash, whose last bit says if it is in capitals; remembered up to a bound."""
 
-    def __missing__(self, word: str) -> tuple[int, bool]:
-        if len(self) > 300_000:
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
             self.clear()
-        shape = len(word) > 1 and word.isupper()
-        found = self[word] = (xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass")), shape)
+        digest = xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        found = self[word] = digest & ~1 | (len(word) > 1 and word.isupper())
         return found
 
 
@@ -62,11 +62,11 @@ _words = Words()
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Slots, ascending and distinct, and their values."""
-    found = [_words[match[0]] for match in WORD.finditer(text)]
-    if not found:
+    words = np.fromiter((_words[match[0]] for match in WORD.finditer(text)), np.uint64)
+    if not len(words):
         return np.array([int(_NOTHING) % SLOTS], np.int64), np.ones(1)
-    words = np.array([word for word, _ in found], np.uint64)
-    capitals = np.array([shape for _, shape in found], bool)
+    capitals = words & np.uint64(1)
+    words ^= capitals
     pairs = (words[:-1] * _MULTIPLIER + words[1:]) * _MIX
     pairs[words[:-1] == words[1:]] = _AGAIN
     again = int((words[:-2] == words[2:]).sum())
@@ -149,7 +149,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, learns: Column, text: str,
     found = found.select(part.alias("part"), "label", order.alias("order"), "_text").sortWithinPartitions("order", "label")
 
     def read(batches):
-        for batch, texts_ in texts_of(batches, "_text"):
+        for batch, texts_ in texts_of(pieces(batches), "_text"):
             rows_ = [features(value) for value in texts_]
             columns = [batch.column(name) for name in ("part", "label", "order")]
             columns.append(pa.array([slots.astype(np.int32) for slots, _ in rows_], pa.list_(pa.int32())))
@@ -250,13 +250,13 @@ def calibrated(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(slope, 0.1), at
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`doc`, a struct of the columns of `docs`, and its `score` between 0 and 1."""
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("_text"))
+def scored(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("*",)) -> DataFrame:
+    """`doc`, a struct of the columns `keep` of `docs`, and its `score` between 0 and 1."""
+    rows = docs.select(F.struct(*keep).alias("doc"), F.col(text).alias("_text"))
 
     def measured(batches):
         dense = model.dense()
-        for batch, texts in texts_of(batches, "_text"):
+        for batch, texts in texts_of(pieces(batches), "_text"):
             margins = [float(dense[slots] @ values) for slots, values in map(features, texts)]
             score = model.score(np.array(margins) + model.constant)
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(score)], names=["doc", "score"])
@@ -274,7 +274,7 @@ def score_documents(
 ) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of `docs`."""
     model = train(learning_rows(docs, labels, learns(doc_id), text, doc_id, label))
-    return scored(docs.select(doc_id, text), model, text).select(
+    return scored(docs, model, text, (doc_id,)).select(
         F.col(f"doc.{doc_id}").alias(doc_id),
         F.coalesce(~learns(f"doc.{doc_id}"), F.lit(False)).alias("held_out"),
         "score",
