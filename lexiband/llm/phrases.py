@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 from lexiband.llm.common import kept, small, stored
 from lexiband.operators.ranking import with_rank
 
-WORDS, PART, LONGEST, LEAST, COVERED, BEST, SCALE = 1 << 20, 1 << 20, 3, 10, 50, 2000, 1_000_000
+WORDS, PART, LONGEST, LEAST, COVERED, BEST, SCALE = 1 << 19, 1 << 20, 3, 10, 50, 2000, 1_000_000
 UNKNOWN = "und"
 # A-Z in lower case, every mark that ends a piece a line feed, a tab a blank: then white space
 # within a piece is blanks alone.
