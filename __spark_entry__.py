@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -12,22 +11,25 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from lexiband.operators import bands, frequency, measurements, tokenize  # noqa: E402
+from lexiband.__main__ import run as run_job  # noqa: E402
+from lexiband.operators import bands, frequency, measurements, tokenize
 from lexiband.operators.ranking import by_frequency, with_letter_rank
 from lexiband.plans.measurement_report import measurement_report
 from lexiband.plans.report import word_and_letter_bands, write_report
-from lexiband.session import new_shared_path
-from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands
+from lexiband.session import new_shared_path, with_settings
+from lexiband.sources.csv import execution_columns, read_bands, read_measurements, write_bands, write_measurements
 from lexiband.sources.tables import read_lines, read_text_table
 
-# The operators for training text are added if they are there.
+# The operators for training text are added if they, and what they import, are there.
 llm_queries, llm_sql = [], {}
-if importlib.util.find_spec("lexiband.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
     from corpus_pipeline import pipeline
     from lexiband.llm.queries import ORACLE_SQL as LLM_SQL
     from lexiband.llm.queries import QUERIES as LLM_QUERIES
-
+except ImportError as missing:
+    print(f"without the operators for training text: {missing}", file=sys.stderr)
+else:
     llm_queries = [*LLM_QUERIES, pipeline]
     llm_sql = {**LLM_SQL, **({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})}
 
@@ -168,6 +170,22 @@ def report_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bands(spark, _report(spark, sf_dir)[1], "letter")
 
 
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command's work, from its arguments to both outputs, in a session with the job's settings."""
+    session = with_settings(spark.newSession())
+    source, out = new_shared_path(session, "texts"), new_shared_path(session, "job")
+    documents(session, sf_dir).write.text(source)
+    words, letters = run_job(session, ["-i", f"{source}/part-*", "-o", out])
+    return _both(read_bands(spark, words, "word"), read_bands(spark, letters, "letter"))
+
+
+def _both(words: DataFrame, letters: DataFrame) -> DataFrame:
+    rest = ["rank", "category", "frequency"]
+    return words.select(F.lit("word").alias("kind"), F.col("word").alias("token"), *rest).unionByName(
+        letters.select(F.lit("letter").alias("kind"), F.col("letter").alias("token"), *rest)
+    )
+
+
 def measure_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*IDS, *MEASURES)
     return measurements.unpivot_measures(wide, IDS, MEASURES, "measure", "value")
@@ -198,23 +216,17 @@ def word_bands_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report over one file for each return flag, keyed by the flag."""
+    """The report over measurement files in a folder for each return flag, keyed by the flag."""
     path = new_shared_path(spark, "measurements")
     times = execution_columns(len(MEASURES))
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     wide = lineitem.select(
-        "l_returnflag",
+        F.col("l_returnflag").alias("flag"),
         F.col("l_linenumber").alias("Workers"),
         *(F.col(old).alias(new) for old, new in zip(MEASURES, times)),
     )
-    # A file for each flag, and as many more as there are tasks: the report is per file.
-    one_each = wide.repartition("l_returnflag")
-    flags = ["A", "N", "R"]
-    for flag in flags:
-        rows = one_each.where(F.col("l_returnflag") == flag).drop("l_returnflag").coalesce(1)
-        rows.write.option("header", True).option("lineSep", "\r\n").csv(f"{path}/{flag}")
-    report = measurement_report(spark, [f"{path}/{flag}" for flag in flags], len(MEASURES), key="folder")
-    return _rounded(report)
+    write_measurements(wide, path, "flag", len(MEASURES))
+    return _rounded(measurement_report(spark, path, len(MEASURES), key="flag")).withColumnRenamed("flag", "folder")
 
 
 def measure_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +274,7 @@ def queries() -> dict[str, Query]:
         word_bands_replaced,
         report_words,
         report_letters,
+        report_job,
         measure_unpivot,
         measure_stats,
         measure_pooled_stats,
@@ -380,6 +393,10 @@ def oracle_sql() -> dict[str, str]:
         "word_bands_replaced": _bands("word"),
         "report_words": _bands("word"),
         "report_letters": _bands("letter"),
+        "report_job": f"""
+            SELECT 'word' AS kind, word AS token, rank, category, frequency FROM ({_bands("word")})
+            UNION ALL
+            SELECT 'letter' AS kind, letter AS token, rank, category, frequency FROM ({_bands("letter")})""",
         "measure_unpivot": """
             SELECT l_orderkey, l_linenumber, l_returnflag, measure, value
             FROM (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_discount, l_tax

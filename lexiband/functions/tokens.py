@@ -28,9 +28,11 @@ def blocks(text: Column) -> Column:
     """Array of parts of `text` that cut no piece: BLOCK characters and the rest of the last piece.
 
     The array of a text's pieces takes many times the room of the text and is held by one
-    task; that of a block is small, whatever the text. Most texts are one block.
+    task; that of a block is small, whatever the text. A text of no more bytes is one block as
+    it is, so that most texts are not searched for the cuts.
     """
-    return F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{BLOCK}}}[^{SEPARATORS}]*+"), F.lit(0))
+    cut = F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{BLOCK}}}[^{SEPARATORS}]*+"), F.lit(0))
+    return F.when(F.octet_length(text) > BLOCK, cut).otherwise(F.array(text))
 
 
 def is_word(piece: Column) -> Column:

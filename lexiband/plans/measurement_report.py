@@ -11,7 +11,8 @@ from lexiband.sources.csv import execution_columns, read_measurements
 def measurement_report(spark: SparkSession, path: str | list[str], repetitions: int = 3, key: str = "file") -> DataFrame:
     """`file`, `Workers`, `mean`, `sd`, for all files at once.
 
-    With the key "folder", files of one folder count as one.
+    With the key "folder", files of one folder count as one; with the key that
+    `write_measurements` was given, those of one value, null included.
     """
     ids = [key, "Workers"]
     wide = read_measurements(spark, path, repetitions, key)

@@ -27,7 +27,12 @@ def build_session(app_name: str = "lexiband") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    return with_settings(builder.getOrCreate())
+
+
+def with_settings(spark: SparkSession) -> SparkSession:
+    """Give a session the settings of a job that can still be given: those of SQL."""
+    spark.conf.set("spark.sql.adaptive.enabled", SETTINGS["spark.sql.adaptive.enabled"])
     if not spark.sparkContext.getConf().contains(SPLIT_SETTING):
         spark.conf.set(SPLIT_SETTING, SPLIT_BYTES)
     return spark

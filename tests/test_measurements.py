@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexiband.operators.measurements import mean_and_deviation, unpivot_measures
 from lexiband.plans.measurement_report import measurement_report
-from lexiband.sources.csv import execution_columns, read_measurements
+from lexiband.sources.csv import execution_columns, read_measurements, write_measurements
 
 # Two measurement files and what they come to.
 FILES = {
@@ -56,6 +56,30 @@ def test_report(spark, folder):
     assert {(row.file, row.Workers): (round(row["mean"], 3), round(row.sd, 3)) for row in rows} == STATS
 
 
+def test_folders_by_any_value(spark, tmp_path):
+    """Values not foreseen, null and empty ones, and what a path can't hold as it is."""
+    flags = ["A", "X", None, "", "a/b", "x=y", "v", "17", " ", "ü"]
+    rows = [(flag, i % 2, float(i), float(2 * i), None) for i, flag in enumerate(flags * 4)]
+    schema = "flag STRING, Workers INT, " + ", ".join(f"`{name}` DOUBLE" for name in execution_columns())
+    wide = spark.createDataFrame(rows, schema)
+    write_measurements(wide, str(tmp_path / "out"), "flag")
+    back = read_measurements(spark, str(tmp_path / "out"), key="flag")
+    assert back.columns == wide.columns and sorted(back.collect(), key=repr) == sorted(map(tuple, rows), key=repr)
+    report = measurement_report(spark, str(tmp_path / "out"), key="flag")
+    want = mean_and_deviation(unpivot_measures(wide, ["flag", "Workers"], execution_columns()), ["flag", "Workers"])
+    assert report.columns == want.columns == ["flag", "Workers", "mean", "sd"]
+    assert sorted(report.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_writing_folders_moves_no_rows(spark, tmp_path):
+    """A value with most rows is written by all tasks that have some of them."""
+    schema = ["id % 100 = 0 AS flag", "1 AS Workers", *(f"0.5D AS `{name}`" for name in execution_columns())]
+    wide = spark.range(0, 8000, 1, 8).selectExpr(*schema)
+    write_measurements(wide, str(tmp_path / "out"), "flag")
+    assert len(list((tmp_path / "out" / "flag=vfalse").glob("part-*.csv"))) == 8
+    assert read_measurements(spark, str(tmp_path / "out"), key="flag").count() == 8000
+
+
 def test_missing_times_do_not_count(spark):
     long = spark.createDataFrame([(1, 2.0), (1, None), (1, 4.0), (2, 5.0), (3, None)], "Workers INT, `Time taken` DOUBLE")
     stats = mean_and_deviation(long, ["Workers"]).withColumn("sd", F.round("sd", 6))
