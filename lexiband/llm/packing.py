@@ -13,8 +13,10 @@ ids are packed like others, row by row. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,56 +25,126 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiband.llm.common import kept, texts_of
+from lexiband.llm.common import pieces as smaller
 
 CAPACITY, END_ID, BLOCK = 4096, 1, 1 << 14
 # Texts in which white space alone parts what the tokenizer sees: printable ASCII and Latin-1.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xac\xae-\xff]*")
 STOP = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+BLANKS = " \n\t\r\x0b\x0c"
+# How a tokenizer reads a text if words can be encoded apart from one another, lower
+# case, white space dropped, and what it splits words at.
+READS = {
+    "normalizer": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "pre_tokenizer": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+class Numbers(dict):
+    """Word to number, given out in order."""
+
+    def __init__(self):
+        super().__init__()
+        self.order: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.order)
+        self.order.append(word)
+        return number
 
 
 class Encoder:
     """Token ids of whole texts, as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never looks across it, so the ids of a plain text are
-    those of its words one after the other. Words are encoded once and remembered, up to
-    `words` of them; new ones go to the tokenizer together, parted by a control character
-    that plain texts don't have. Any other text goes to the tokenizer whole.
+    A tokenizer that READS so drops white space and never looks across it, so the ids of a plain text are
+    those of its words one after the other. Words are encoded once and remembered; new ones
+    go to the tokenizer together, parted by a control character that plain texts don't have.
+    Beyond `words` of them, the half that was used longest ago is forgotten. Any other text,
+    and every text of any other tokenizer, goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str, words: int = 400_000):
+    def __init__(self, path: str, words: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.known = Tokenizer.from_file(path), words, {}
-        (self.mark,) = self.tokenizer.encode("\x02", add_special_tokens=False).ids
+        self.tokenizer, self.words, self.batch = Tokenizer.from_file(path), words, 0
+        told = json.loads(self.tokenizer.to_str())
+        reads = {
+            "normalizer": (told["normalizer"] or {}).get("normalizers"),
+            "pre_tokenizer": (told["pre_tokenizer"] or {}).get("pretokenizers"),
+        }
+        mark = self.tokenizer.encode("\x02", add_special_tokens=False).ids
+        self.by_words = reads == READS and len(mark) == 1 and told["model"]["type"] == "BPE"
+        self.mark = mark[0] if mark else None
+        # The ids of all words one after the other, and of each word where, how many, last used when.
+        self.numbers, self.held = Numbers(), np.empty(0, "<u4")
+        self.starts, self.lengths, self.used = (np.empty(0, np.int64) for _ in range(3))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self._words(text) for text in texts]
-        if len(self.known) > self.words:
-            self.known.clear()
-        known = self.known
-        self._learn(list({word for words in split if words for word in words if word not in known}))
-        return [
-            self._ids(text).tobytes() if words is None else b"".join([known[word] for word in words])
-            for text, words in zip(texts, split)
-        ]
+        if len(self.numbers) > self.words:
+            self._forget()
+        before = len(self.numbers)
+        found = map(self.numbers.__getitem__, chain.from_iterable(words for words in split if words))
+        numbers = np.fromiter(found, np.int64)
+        self._learn(self.numbers.order[before:])
+        self.batch += 1
+        self.used[numbers] = self.batch
+        sizes = self.lengths[numbers]
+        ends = np.cumsum(sizes)
+        ids = self.held[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        out, word = [], 0
+        for text, words in zip(texts, split):
+            if words is None:
+                out.append(self._ids(text).tobytes())
+                continue
+            first, word = word, word + len(words)
+            out.append(ids[ends[first] - sizes[first] : ends[word - 1]].tobytes() if words else b"")
+        return out
 
     def _words(self, text: str) -> list[str] | None:
-        if not PLAIN.fullmatch(text) or "<|" in text:
+        if not self.by_words or not PLAIN.fullmatch(text) or "<|" in text:
             return None
-        text = text.lower()
-        if not STOP.search(text + " "):  # then every , and . before white space is a token of its own
-            text = re.sub(r"([.,])(?=\s|$)", r" \1", text)
+        text = text.lower() + "\n"
+        if not STOP.search(text):  # then every , and . before white space is a token of its own
+            for blank in BLANKS:
+                if blank in text:
+                    text = text.replace("." + blank, " ." + blank).replace("," + blank, " ," + blank)
         return text.split()
 
-    def _learn(self, words: list[str], at_once: int = 20_000) -> None:
+    def _learn(self, words: list[str], at_once: int = 2_000) -> None:
+        ids, sizes = [self.held], [self.lengths]
         for i in range(0, len(words), at_once):
             some = words[i : i + at_once]
-            ids = self._ids(" \x02 ".join(some))
-            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            start = 0
-            for word, end in zip(some, ends):
-                self.known[word] = ids[start:end].tobytes()
-                start = end + 1
+            found = self._ids(" \x02 ".join(some))
+            parts = np.flatnonzero(found == self.mark)
+            ids.append(found[found != self.mark])
+            sizes.append(np.diff(parts, prepend=-1, append=len(found)) - 1)
+        if words:
+            self.held, self.lengths = np.concatenate(ids), np.concatenate(sizes)
+            self.starts = np.cumsum(self.lengths) - self.lengths
+            self.used = np.concatenate([self.used, np.zeros(len(words), np.int64)])
+
+    def _forget(self) -> None:
+        kept_ = np.flatnonzero(self.used > np.median(self.used))
+        order, numbers = self.numbers.order, Numbers()
+        for number in kept_.tolist():
+            numbers[order[number]]
+        ids = [self.held[self.starts[i] : self.starts[i] + self.lengths[i]] for i in kept_.tolist()]
+        self.numbers, self.lengths, self.used = numbers, self.lengths[kept_], self.used[kept_]
+        self.held = np.concatenate([self.held[:0], *ids])
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def _ids(self, text: str) -> np.ndarray:
         (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -110,20 +182,19 @@ def pieces(
 
     def cut(batches):
         encode = encoder(tokenizer).encode
-        for batch, texts in texts_of(batches, "text"):
+        for batch, texts in texts_of(smaller(batches), "text"):
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            for at in range(0, len(texts), 256):
-                for row, data in enumerate(encode(texts[at : at + 256]), at):
-                    data += end
-                    for k in range(0, len(data), width):
-                        part = data[k : k + width]
-                        rows.append(row)
-                        piece.append(k // width)
-                        start.append(k // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if with_ids:
-                            ids.append(np.frombuffer(part, dtype="<i4"))
+            for row, data in enumerate(encode(texts)):
+                data += end
+                for k in range(0, len(data), width):
+                    part = data[k : k + width]
+                    rows.append(row)
+                    piece.append(k // width)
+                    start.append(k // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
+                    if with_ids:
+                        ids.append(np.frombuffer(part, dtype="<i4"))
             columns = [
                 batch.column("doc_id").take(pa.array(rows, pa.int64())),
                 pa.array(piece, pa.int32()),

@@ -103,3 +103,84 @@ def test_blocks_do_not_share_sequences(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 90)) for i in range(400)], "doc_id BIGINT, text STRING")
     found = packing.packed(packing.pieces(docs, PATH, capacity=100), 100, block=50).toPandas()
     check_packing(found["length"].to_numpy(), found["sequence_id"].to_numpy(), found["offset"].to_numpy(), 100)
+
+
+def by_hand(lengths, capacity):
+    """Best-two-fit, trying every pair: the sequences as lists of lengths."""
+    left, out = sorted(lengths, reverse=True), []
+    while left:
+        held, room = [], capacity
+        while fits := [size for size in left if size <= room]:
+            held.append(fits[0])
+            left.remove(fits[0])
+            room -= fits[0]
+        if room and len(held) > 1:
+            gap = room + held[-1]
+            pairs = [
+                (-left[i] - left[j], left[j], left[i])
+                for i in range(len(left))
+                for j in range(i + 1, len(left))
+                if left[i] + left[j] <= gap
+            ]
+            if pairs and -min(pairs)[0] > held[-1]:
+                left.append(held.pop())
+                for size in min(pairs)[1:]:
+                    left.remove(size)
+                    held.append(size)
+                left.sort(reverse=True)
+        out.append(sorted(held))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_best_two_fit_against_trying_every_pair(seed):
+    rng = np.random.default_rng(seed)
+    capacity = int(rng.integers(5, 60))
+    lengths = rng.integers(1, capacity + 1, int(rng.integers(1, 60)))
+    if seed % 3 == 0:
+        lengths = np.minimum(lengths, max(1, capacity // 4))
+    number, offset = packing.best_two_fit(lengths, capacity)
+    found = {}
+    for sequence, at, size in zip(number.tolist(), offset.tolist(), lengths.tolist()):
+        found.setdefault(sequence, []).append((at, size))
+    for parts in found.values():
+        parts.sort()
+        assert [at for at, _ in parts] == np.cumsum([0, *(size for _, size in parts)])[:-1].tolist()
+    assert sorted(sorted(size for _, size in parts) for parts in found.values()) == by_hand(lengths.tolist(), capacity)
+
+
+ODD_TEXTS = [
+    "",
+    " ",
+    "Plain text, with. marks",
+    "a.. b ,. c,",
+    "it's we're I'd'll",
+    "x\x02y \x02",
+    "tab\tnew\nline\x0bvertical\x0cform\r",
+    "\u00e9t\u00e9 \u00c9T\u00c9 \u4e2d\u6587 \U0001f600",
+    "<|endoftext|> <|startoftext|>",
+    "1234 56,78. 9",
+    "A" * 5000 + ".",
+    "_. _, a_. b",
+]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_any_tokenizer_gives_its_own_ids(name):
+    """One that reads words apart, and one that looks at case and white space."""
+    path = public_tokenizers.path(name)
+    encoder = packing.Encoder(path)
+    assert encoder.by_words == name.startswith("word")
+    found = encoder.encode(ODD_TEXTS)
+    for text, ids in zip(ODD_TEXTS, found):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_forgotten_words_are_learnt_again():
+    encoder = packing.Encoder(PATH, words=40)
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in rng.integers(0, 200, 12)) for _ in range(3)]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder.numbers) <= 40 + 36
