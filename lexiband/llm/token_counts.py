@@ -19,6 +19,7 @@ no tokens. Repeated and null ids get their rows like others. Other columns are n
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OUTSIDE = -1
+# How the pattern of a byte-level vocabulary ends if it takes a run of white space but
+# for its last character, and what it takes for white space.
+BLANKS_END = r"\s+(?!\S)|\s+"
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"[{BLANK}]{{1000,}}")
 
 
 class Spans:
-    """Encodes texts and knows where each token lies."""
+    """Encodes texts and knows where each token lies.
+
+    The pattern's look-ahead goes back through a run of white space step by step, which a very long
+    run does not survive. Such a run is one piece up to its last character, or whole at the
+    end of a text; so it is encoded apart, as one piece, and the ids are those of the whole text.
+    """
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
@@ -38,6 +49,9 @@ class Spans:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("texts", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # The same vocabulary with everything as one piece.
+        self.one_piece = tiktoken.Encoding("runs", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        self.cuts_runs = pattern.endswith(BLANKS_END)
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.sizes[rank] = len(token)
@@ -45,7 +59,7 @@ class Spans:
     def characters(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character of each token, and the one after its last."""
         data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        ids = np.array(self.encoding.encode_to_numpy(text), np.int64)
+        ids = self.ids(text)
         ends = np.cumsum(self.sizes[ids])
         if not len(ids):
             return ends, ends
@@ -53,6 +67,16 @@ class Spans:
         return number[ends - self.sizes[ids]], number[ends - 1] + 1
 
 
+    def ids(self, text: str) -> np.ndarray:
+        parts, at = [], 0
+        for run in LONG_RUN.finditer(text) if self.cuts_runs else ():
+            end = run.end() - (run.end() < len(text))
+            parts.append(self.encoding.encode_to_numpy(text[at : run.start()]))
+            parts.append(self.one_piece.encode_to_numpy(text[run.start() : end]))
+            at = end
+        return np.concatenate([*parts, self.encoding.encode_to_numpy(text[at:])]).astype(np.int64)
+
+
 _spans: dict[str, Spans] = {}
 
 

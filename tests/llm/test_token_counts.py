@@ -1,3 +1,5 @@
+import time
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +80,23 @@ def test_long_and_empty(spark):
     found = token_counts.section_tokens(frame(spark, TEXTS), PATH, PATTERN)
     assert found.where("doc_id IS NULL").select("section", "tokens").collect() == [(0, 0)]
     assert token_counts.section_tokens(frame(spark, []), PATH, PATTERN).count() == 0
+
+
+def test_long_white_space_has_the_ids_of_the_whole_text():
+    """Runs that the tokenizer itself still takes, against its own ids, on every side of a cut."""
+    spans = token_counts.spans(PATH, PATTERN)
+    for blank in (" ", "\n", "\t", "\u00a0", "\u3000", " \n", "\r\n", "\x85 "):
+        run = blank * 1500
+        for text in (run, "a" + run, run + "b", f"it's{run}b,c{run}5{run}", run + "\x1c" + run, f"x {run}\n'll {run}"):
+            assert spans.ids(text).tolist() == spans.encoding.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("part", [" ", "\n", "\t ", "\u3000", "a", "7", "!", "\u00e9", "\u6f22", "\U0001f600", "a "])
+def test_a_million_of_each_kind(spark, part):
+    """No text may crash the job or hold it up."""
+    docs = [(1, part * (1_000_000 // len(part))), (2, f"begin {part * (1_000_000 // len(part))} end")]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    start = time.monotonic()
+    found = token_counts.section_tokens(df, PATH, PATTERN).groupBy("doc_id").agg(F.sum("tokens").alias("n"), F.max("doc_tokens").alias("all"))
+    assert all(row.n == row["all"] > 0 for row in found.collect())
+    assert time.monotonic() - start < 30
