@@ -6,10 +6,12 @@ whole. Sketches of parts merge into the sketch of the whole by keeping the k sma
 union. From two sketches come resemblance and containment, from one the number of distinct
 shingles: exact for texts held whole, else with a standard error of about 1/sqrt(k).
 
-Next documents: ids are cut into ranges by sampled quantiles, and each task walks one range
-in order. The first row of a range is sent to the range before as well, so that the last
+Next documents: a bounded sample of ids, each with a digest of its text, cuts the rows into
+ranges, and each task walks one range in order. Ids of any type that Spark orders are compared
+as they are. The first row of a range is sent to the range before as well, so that the last
 row there has its next one; the first of all goes to the last range. No window runs over
-all rows, and a task holds two texts beside its batch.
+all rows, and a task holds two texts beside its batch. Null ids, and an id of many texts, are cut
+by the digests. Rows alike in id and text stay in one task, which streams them.
 
 Defined results: null text is empty; its fingerprint is the empty string, which is alike to
 itself (1.0) and to no other (0.0). A text of fewer than five words is one shingle. Order is
@@ -20,17 +22,20 @@ not read.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+from pyspark.sql.functions import arrow_udf
 
-SIZE, K, BITS = 5, 128, 48
+from lexiband.llm.common import pieces
+
+SIZE, K, BITS, SAMPLED = 5, 128, 48, 30
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -121,7 +126,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", si
     )
 
     def made(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             found = [sketch(value or "", size, k) for value in batch.column("text").to_pylist()]
             columns = [
                 batch.column("doc_id"),
@@ -182,7 +187,7 @@ def edited_likeness(
     )
 
     def rows(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             values = [value or "" for value in batch.column("text").to_pylist()]
             yield from zip(batch.column("doc_id").to_pylist(), values, batch.column("extra").to_pylist())
 
@@ -226,51 +231,46 @@ def _batch(rows: list[tuple], schema: T.StructType, id_type: T.DataType) -> pa.R
 def _ranges(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (doc_id, text, extra) in partitions of successive ids, each in order and ended by
     the first row of the next, which is `extra` there."""
-    from pyspark.ml.feature import Bucketizer
-
-    spark = docs.sparkSession
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
-        "place", place
-    )
-    # Bounded by the number of partitions, whatever the input.
-    shares = [i / count for i in range(1, count)]
-    cuts = rows.where("place > double('-infinity')").approxQuantile("place", shares, 1 / (4 * count)) if shares else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) > 2:
-        bucketed = Bucketizer(splits=splits, inputCol="place", outputCol="range").transform(rows)
-        bucketed = bucketed.select(*rows.columns, F.col("range").cast("int").alias("bucket"))
-    else:
-        bucketed = rows.withColumn("bucket", F.lit(0))
-
-    # The first row of each range: the smallest place, then the smallest text, by its digest.
-    digest = F.sha2(F.col("text"), 256)
-    firsts = bucketed.groupBy("bucket").agg(F.min(F.struct("place", digest.alias("digest"))).alias("first"))
-    in_order = F.row_number().over(Window.orderBy("bucket"))
-    firsts = firsts.select("bucket", "first", in_order.alias("n"))
-    firsts = firsts.select(
-        "bucket",
-        "first",
-        F.lag("bucket").over(Window.orderBy("n")).alias("previous"),
-        F.max("bucket").over(Window.partitionBy()).alias("last_bucket"),
-    )
-    target = firsts.select(
-        F.col("first.place").alias("place"),
-        F.col("first.digest").alias("digest"),
-        F.coalesce("previous", "last_bucket").alias("to"),
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    digest = F.sha2("text", 256)
+    # About SAMPLED keys a partition come to the driver, and one key a partition goes to the tasks.
+    share = min(1.0, SAMPLED * count / max(1, docs.count()))
+    keys = sorted(map(_key, rows.sample(share, 1).select("doc_id", digest.alias("digest")).collect()))
+    cuts = sorted({keys[i * len(keys) // count] for i in range(1, count)} if keys else set())
+    least = _least(rows, digest)
+    # The first of all rows and the first of each range: both are rows that are there.
+    firsts = [least, *(cut for cut in cuts if cut > least)] if least else []
+
+    def placed(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        found = []
+        for key in zip(ids.to_pylist(), digests.to_pylist()):
+            key = _key(key)
+            at = bisect.bisect_right(firsts, key) - 1
+            found.append(2 * at + (firsts[at] == key))
+        return pa.array(found, pa.int64())
+
+    put = rows.withColumn("digest", digest).withColumn("put", arrow_udf(placed, "long")("doc_id", "digest"))
+    put = put.withColumn("range", F.shiftright("put", 1).cast("int"))
+    here = F.struct(F.col("range").alias("bucket"), F.lit(False).alias("extra"))
+    before = F.pmod(F.col("range") - 1, F.lit(max(1, len(firsts))))
+    there = F.struct(before.alias("bucket"), F.lit(True).alias("extra"))
+    sent = put.select(
+        "doc_id", "text", "digest", F.inline(F.when(F.col("put") % 2 == 1, F.array(here, there)).otherwise(F.array(here)))
     )
-    # One row per range, so at most the number of partitions.
-    joined = bucketed.join(
-        F.broadcast(target.withColumnRenamed("place", "first_place")),
-        (F.col("place") == F.col("first_place")) & (digest == F.col("digest")),
-        "left",
-    )
-    here = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("extra"), F.col("place").alias("place"))
-    there = F.struct(F.col("to").alias("bucket"), F.lit(True).alias("extra"), F.lit(float("inf")).alias("place"))
-    sent = joined.select(
-        "doc_id", "text", F.inline(F.when(F.col("to").isNull(), F.array(here)).otherwise(F.array(here, there)))
-    )
-    dealt = sent.repartitionById(len(splits) - 1, F.col("bucket"))
-    ordered = dealt.sortWithinPartitions("place", F.sha2("text", 256))
+    dealt = sent.repartitionById(max(1, len(firsts)), F.col("bucket"))
+    ordered = dealt.sortWithinPartitions("extra", F.asc_nulls_first("doc_id"), "digest")
     return ordered.select("doc_id", "text", "extra")
+
+
+def _key(row: tuple) -> tuple:
+    """A row's place in the order: null ids first, rows of one id by the digest of their text."""
+    return row[0] is not None, row[0], row[1]
+
+
+def _least(rows: DataFrame, digest: Column) -> tuple | None:
+    """The first key of all, in two narrow passes."""
+    ids = rows.agg(F.min("doc_id").alias("id"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    least = None if ids["nulls"] else ids["id"]
+    found = rows.where(F.col("doc_id").eqNullSafe(F.lit(least))).agg(F.min(digest).alias("digest")).first()
+    return None if found["digest"] is None else _key((least, found["digest"]))

@@ -1,4 +1,5 @@
 import hashlib
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -17,7 +18,7 @@ def shingles(text):
 def brute(rows):
     rows = sorted(
         ((i, t or "") for i, t in rows),
-        key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256(r[1].encode()).hexdigest()),
+        key=lambda r: (r[0] is not None, 0 if r[0] is None else r[0], hashlib.sha256(r[1].encode()).hexdigest()),
     )
     out = []
     for k, (doc_id, text) in enumerate(rows):
@@ -33,8 +34,8 @@ def exact(a, b):
     return len(a & b) / len(a | b) if a and b else float(not a and not b)
 
 
-def check(spark, rows):
-    docs = spark.createDataFrame([(*r, 1, "e", 2) for r in rows], SCHEMA)
+def check(spark, rows, type_="BIGINT"):
+    docs = spark.createDataFrame([(*r, 1, "e", 2) for r in rows], SCHEMA.replace("BIGINT", type_, 1))
     found = sketches.edited_likeness(docs).collect()
     want = brute(rows)
     key = lambda r: (str(r[0]), r[1], r[2])
@@ -66,6 +67,27 @@ def test_equals_brute_force(spark, rows):
     check(spark, rows)
 
 
+@pytest.mark.parametrize(
+    "type_, ids",
+    [
+        ("BIGINT", [2**60 + i for i in (5, 3, 9, 1, 7, 2, 8, 0, 6, 4)] * 20),
+        ("BIGINT", [-(2**62), 2**62, 2**53, 2**53 + 1, 0, None] * 30),
+        ("STRING", [f"id{i % 77}" for i in range(200)] + ["", "É", "z", "Z", None, "\U0001f600", "\uffff"]),
+        ("DECIMAL(30,0)", [Decimal(10) ** 25 + i for i in range(150)]),
+        ("BIGINT", [None] * 10_000),
+    ],
+)
+def test_ids_of_any_kind(spark, type_, ids):
+    """Large, negative, null and repeated ids, and ids that are no numbers."""
+    check(spark, [(name, f"text {i * 7919 % 1013} of {i % 19} words") for i, name in enumerate(ids)], type_)
+
+
+def test_null_ids_are_spread(spark):
+    rows = spark.createDataFrame([(None, f"text {i}") for i in range(10_000)], "doc_id BIGINT, text STRING")
+    sizes = sketches._ranges(rows, "text", "doc_id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(row["count"] for row in sizes) < 3_000
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     check(spark, [(r.doc_id, r.text) for r in docs])
