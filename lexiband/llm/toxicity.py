@@ -10,14 +10,17 @@ holds the words most frequent in ordinary text; the toxic one ends with the word
 toxic text by their document frequencies, the ordinary one with the words that mark ordinary
 text, as many of them.
 
+What counts is the strongest stretch of successive windows, so that a passage in a very long text
+weighs what it weighs alone. Its threshold is calibrated on the learning rows, long ones among them.
+
 The rows that teach are about LEARNING labelled rows at most, chosen by a hash of the id, so
-that they can be broadcast to the texts. Spark counts the document frequencies over all of
+that the ids can be broadcast to the texts; they are kept, one text for each id. Spark counts the document frequencies over all of
 their whole texts. What reaches the driver is bounded: COMMON + MARKING words, and the
-distances of about SAMPLE learning rows a label, chosen by a hash, from which the threshold
+distances of about SAMPLE learning rows a label, chosen by a hash of the id, from which the threshold
 and the logistic scale are fitted. The score is 0.3 exactly where the fit separates best.
 
 Defined results: a null or empty text has no window, distance 0 and the score of that. Rows
-without a label, or with a null one, don't teach. A row that occurs twice is scored twice.
+without a label, or with a null one, don't teach; of an id with several texts the smallest does. A row that occurs twice is scored twice.
 If a label is missing, or no word marks toxic text, every score is 0.
 """
 
@@ -35,10 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiband.llm.common import kept, texts_of
+from lexiband.llm.common import kept, pieces, stored, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
-WINDOW, LEVEL, SLACK, WEIGHT = 16, 3, 2, 200
+WINDOW, STRETCH, LEVEL, SLACK, WEIGHT = 16, 32, 3, 2, 200
 COMMON, MARKING, LEAST_DOCS, LEAST_RATIO = 500, 2000, 4, 24.0
 LEARNING, SAMPLE, CUT = 40_000, 10_000, 0.3
 
@@ -72,10 +75,12 @@ class Codes(dict):
 
 
 class Distance:
-    """Feature of a text: log of the bytes saved per word in its windows.
+    """Feature of a text: log of the bytes saved per word in its strongest stretch of windows.
 
-    Up to SLACK bytes a window are noise. A text counts as WEIGHT words longer than it is, so
-    that one saving in a short text is no higher a share than many in a long one.
+    Up to SLACK bytes a window are noise. A stretch has STRETCH windows, or all of a shorter text, and
+    every window begins one, so that a passage weighs the same wherever it is and whatever is
+    around it. A stretch counts as WEIGHT words longer than it is, so that one saving in a
+    short text is no higher a share than many in a long one.
     """
 
     def __init__(self, ordinary: tuple[str, ...], toxic: tuple[str, ...]):
@@ -93,11 +98,14 @@ class Distance:
     def __call__(self, text: str) -> float:
         codes = self.codes
         coded = [codes[word] for word in words(text)]
-        saved = 0
+        saved = []
         for i in range(0, len(coded), WINDOW):
             window = b"".join(coded[i : i + WINDOW])
-            saved += max(0, len(self.ordinary(window)) - len(self.toxic(window)) - SLACK)
-        return math.log((saved + 0.5) / (len(coded) + WEIGHT))
+            saved.append(max(0, len(self.ordinary(window)) - len(self.toxic(window)) - SLACK))
+        if len(saved) <= STRETCH:
+            return math.log((sum(saved) + 0.5) / (len(coded) + WEIGHT))
+        upto = np.cumsum([0, *saved])
+        return math.log((int((upto[STRETCH:] - upto[:-STRETCH]).max()) + 0.5) / (STRETCH * WINDOW + WEIGHT))
 
 
 def _distances(docs: DataFrame, ordinary, toxic) -> DataFrame:
@@ -106,7 +114,7 @@ def _distances(docs: DataFrame, ordinary, toxic) -> DataFrame:
 
     def measured(batches):
         distance = Distance(ordinary, toxic)
-        for batch, texts in texts_of(batches, "_text"):
+        for batch, texts in texts_of(pieces(batches), "_text"):
             columns = [batch.column(field.name) for field in fields]
             feature = pa.array([distance(text) for text in texts], pa.float64())
             yield pa.RecordBatch.from_arrays([*columns, feature], names=[*(f.name for f in fields), "feature"])
@@ -122,15 +130,17 @@ def learning_rows(docs: DataFrame, labels: DataFrame, learns: Column, text: str,
     rows = kept(rows.groupBy("_id").agg(F.max("toxic").alias("toxic")))
     share = LEARNING / max(1, rows.count())
     chosen = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
-    # About LEARNING rows of an id and a label: a proven bound, so that no text is moved.
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
+    # About LEARNING rows of an id and a label: a proven bound, so that only their texts are moved.
+    texts = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "toxic").agg(F.min("_text").alias("_text"))
+    return stored(found, "toxicity-rows")
 
 
 def train(rows: DataFrame) -> Model:
     """Dictionaries and calibration from `learning_rows`."""
 
     def counted(batches):
-        for batch, texts in texts_of(batches, "_text"):
+        for batch, texts in texts_of(pieces(batches), "_text"):
             found = [sorted(set(words(text))) for text in texts]
             toxic = np.repeat(batch.column("toxic").to_numpy(), [len(some) for some in found])
             flat = [word for some in found for word in some]
@@ -161,7 +171,7 @@ def train(rows: DataFrame) -> Model:
     dictionaries = tuple([*ordinary, *common[::-1]]), tuple([*toxic, *common[::-1]])
 
     # About SAMPLE rows a label, by a hash: each task decides on its rows alone.
-    part = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 30)) / float(1 << 30)
+    part = F.pmod(F.xxhash64(F.lit("sample"), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, SAMPLE / n_toxic).otherwise(SAMPLE / n_ordinary)
     measured = _distances(rows.where(part < share).select("_text", "toxic"), *dictionaries).toPandas()
     marked = measured["toxic"] == 1
@@ -194,14 +204,14 @@ def _calibrated(feature: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> t
     return max(slope, 0.1), float(at)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`doc`, a struct of the columns of `docs`, and its `score` between 0 and 1."""
-    rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("_text"))
+def scored(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("*",)) -> DataFrame:
+    """`doc`, a struct of the columns `keep` of `docs`, and its `score` between 0 and 1."""
+    rows = docs.select(F.struct(*keep).alias("doc"), F.col(text).alias("_text"))
     fields = [rows.schema["doc"], T.StructField("score", T.DoubleType())]
 
     def measured(batches):
         distance = Distance(model.ordinary, model.toxic)
-        for batch, texts in texts_of(batches, "_text"):
+        for batch, texts in texts_of(pieces(batches), "_text"):
             score = model.score(np.array([distance(text) for text in texts]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(score)], names=["doc", "score"])
 
@@ -216,7 +226,7 @@ def learns(doc_id: str = "doc_id") -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every row of `docs`."""
     model = train(learning_rows(docs, labels, learns(doc_id), text, doc_id, label))
-    return scored(docs.select(doc_id, text), model, text).select(
+    return scored(docs, model, text, (doc_id,)).select(
         F.col(f"doc.{doc_id}").alias(doc_id),
         F.coalesce(~learns(f"doc.{doc_id}"), F.lit(False)).alias("held_out"),
         "score",

@@ -65,3 +65,22 @@ def test_edge_cases(spark, marks):
     assert [r.held_out for r in found if r.doc_id is None] == [False]
     assert toxicity.drop_toxic(docs, labelled(spark, marks)).columns == docs.columns
     assert toxicity.score_documents(frame(spark, []), labelled(spark, marks)).count() == 0
+
+
+def test_a_passage_in_a_very_long_text_counts(spark):
+    """A clean text of 100,000 words stays; with a toxic passage in it it goes, wherever that is."""
+    rows, marks = corpus(1200)
+    clean = " ".join(text for i, text in rows if i % 8)
+    clean = " ".join((clean + " " + clean + " " + clean).split()[:100_000])
+    passage = " ".join(next(text for i, text in rows if i % 8 == 0) for _ in range(3))
+    half = len(clean) // 2
+    long_ = [(2000, clean), (2001, passage + " " + clean), (2002, clean[:half] + f" {passage} " + clean[half:]), (2003, f"{clean} {passage}")]
+    found = toxicity.score_documents(frame(spark, [*rows, *long_]), labelled(spark, marks)).where("doc_id >= 2000").collect()
+    assert {r.doc_id: r.predicted for r in found} == {2000: 0, 2001: 1, 2002: 1, 2003: 1}
+
+
+def test_an_id_of_many_texts_teaches_once(spark):
+    rows, marks = corpus(200)
+    docs = frame(spark, [*rows, *([(7, "zz again")] * 500)])
+    kept_ = toxicity.learning_rows(docs, labelled(spark, marks), toxicity.learns(), "text", "doc_id", "toxic").collect()
+    assert len({row["_id"] for row in kept_}) == len(kept_) <= 200
