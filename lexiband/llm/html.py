@@ -5,22 +5,23 @@ counts on how many pages of a host each hash occurs, copies of a page, told by a
 as one; a hash on at least LEAST_PAGES pages, and of a host with more pages on LEAST_SHARE of
 them or on the square root of their number, whichever is less, is a template, and its subtree is deleted wherever it occurs, but for an article in it. Within an article that
 holds for boxes of at most SMALL characters on at least LEAST_INSIDE pages, not for single
-paragraphs, headings, list items or table cells, and not if more than MOST_INSIDE of the article's text would go: such an
-article is an edited copy of others. What a page repeats of no other page (an advert seen once, the menu of a host with
-two pages) is then caught by what an element is: by its tag, its role, its class and id.
-All that remains is the text, also beside an article, where the host has the LEAST_PAGES pages
-that templates are told by; on other hosts only the article, if there is one.
+paragraphs, headings, list items or table cells. Only then what a page repeats of no other page (an
+advert seen once, a menu that marks the page it is on, the footer of a host with two pages) is caught
+by what an element is: by its tag, its role, its class and id. All that remains is the text, also
+beside an article, on every host alike. `Page` counts the blocks that each of the two deletes.
 
 A host's templates travel as one array per host, broadcast, if they are at most HOST_HASHES
-for every host and BROADCAST_HASHES in all. Else the templates are joined by host and hash to
-the hashes of each page, and a page meets those of its own by host and digest, in joins that
-AQE splits for a host with many pages. Hashes meet in the shuffle by host, hash and page, so
-that a hash on all pages of a host is in many tasks.
+for every host and BROADCAST_HASHES in all, hosts without any not among them. Else the templates are
+joined by host and hash to the hashes of each page, and a page meets those of its own by host and
+digest, in joins that AQE splits for a host with many pages. Hashes meet in the shuffle by host,
+hash and page, so that a hash on all pages of a host is in many tasks.
 
 Defined results: null html is empty and gives an empty text. A null or broken url is of the
 host "". Pages are read row by row, so repeated and null ids do no harm. Unclosed and
-misplaced tags, comments and character references are read as browsers do in the plain cases;
-nothing in a page makes the reader fail. Other columns are not read.
+misplaced tags, comments and character references are read as browsers do in the plain cases. A
+page is read in one pass, and what an element takes does not depend on how deep it lies, so that
+neither the length of a tag nor the number of open elements or quotes holds a reader up. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -36,10 +38,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiband.llm.common import kept
+from lexiband.llm.common import pieces as smaller
 
 LEAST_PAGES, LEAST_SHARE, BROADCAST_HASHES = 5, 0.02, 1_000_000
 HOST_HASHES = 5_000
-LEAST_INSIDE, SMALL, MOST_INSIDE = 10, 400, 0.5
+LEAST_INSIDE, SMALL = 10, 400
 
 # Fixed values of the HTML standard: elements without content, with raw text, and blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -77,7 +80,8 @@ ABOUT = frozenset("has have with without no not".split())  # "has-sidebar" tells
 CONTENT = frozenset(["article", "main"])
 INSIDE = frozenset("div section ul ol aside address figure center details".split())  # may be templates in an article
 
-TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>")
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+TAG_PART = re.compile(r">|=\s*[\"']")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -91,6 +95,7 @@ def host(url: str) -> Column:
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """("text", text, ""), ("open", tag, attributes) and ("close", tag, "") in page order."""
     at, end = 0, len(page)
+    last = {quote: page.rfind(quote) for quote in "\"'"}
     while at < end:
         start = page.find("<", at)
         if start < 0:
@@ -105,34 +110,53 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             close = page.find(">", start)
             at = end if close < 0 else close + 1
         elif found := TAG.match(page, start):
-            tag, at = found[2].lower(), found.end()
+            close = tag_end(page, found.end(), last)
+            if close < 0:  # a tag that the page's end cuts off
+                return
+            tag, at = found[2].lower(), close + 1
             if found[1]:
                 yield "close", tag, ""
                 continue
-            yield "open", tag, found[3]
+            yield "open", tag, page[found.end() : close]
             if tag in RAW:  # up to its end tag, whatever is between
-                close = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
-                stop = close.start() if close else end
+                raw_end = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
+                stop = raw_end.start() if raw_end else end
                 yield "text", page[at:stop], ""
                 at = stop
-        elif re.match(r"</?[a-zA-Z]", page[start : start + 3]):  # a tag that the page's end cuts off
-            close = page.find(">", start)
-            at = end if close < 0 else close + 1
         else:
             yield "text", "<", ""
             at = start + 1
 
 
+def tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag ends that `at` is in, -1 if it does not. A value may have > in quotes; a quote
+    that is not closed, `last` having the last of each kind, is none."""
+    while found := TAG_PART.search(page, at):
+        quote, at = found[0][-1], found.end()
+        if quote == ">":
+            return found.start()
+        if at <= last[quote]:
+            at = page.find(quote, at) + 1
+    return -1
+
+
 class Element:
-    __slots__ = ("tag", "furniture", "content", "hash", "blocks", "start")
+    __slots__ = ("tag", "furniture", "content", "hash", "first", "outside", "chars", "block", "start")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag = tag
         self.furniture = is_furniture(tag, attributes, parent)
         self.content = tag in CONTENT or (parent is not None and parent.content)
         self.hash = xxhash.xxh64(f"<{tag} {attributes.strip()}>".encode("utf-8", "surrogatepass"))
-        self.blocks: list[tuple[str, bool, bool]] = []  # text, in an article, recurring there
-        self.start = 0  # of its text among the open block's
+        # How much there was when it was opened: blocks, those outside articles, characters of
+        # articles; the open block and the parts of it.
+        self.first = self.outside = self.chars = self.block = self.start = 0
+
+
+class Block(NamedTuple):
+    text: str
+    inside: bool  # an article
+    listed: bool  # furniture by what it is
 
 
 def is_furniture(tag: str, attributes: str, parent: Element | None) -> bool:
@@ -168,15 +192,19 @@ def signed(digest: xxhash.xxh64) -> int:
 
 
 class Page:
-    """One reading of a page: the hashes of its elements, and the text. `templates` is None for
-    a host with too few pages to tell any."""
+    """One reading of a page: the hashes of its elements, its text, and how many blocks, or inline
+    elements of one, were deleted `by_counts` and, of the others, how many blocks `by_lists`."""
 
-    def __init__(self, page: str, templates: frozenset[int] | None = None):
-        self.host_known, templates = templates is not None, templates or frozenset()
+    def __init__(self, page: str, templates: frozenset[int] = frozenset()):
         self.templates, self.hashes = templates, set()
         self.all_text = xxhash.xxh64()
         self.stack = [Element("#page", "", None)]
-        self.inline: list[str] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of a tag in the stack
+        self.scopes: list[int] = []
+        self.enders: list[int] = []  # of scopes and of elements that the start of another ends
+        self.inline: list[tuple[str, bool]] = []
+        self.blocks: list[Block] = []
+        self.outside = self.chars = self.block = self.by_counts = 0
         for kind, value, attributes in tokens(page):
             if kind == "text":
                 self._text(value)
@@ -184,27 +212,21 @@ class Page:
                 self._open(value, attributes)
             else:
                 self._close(value)
-        while len(self.stack) > 1:
-            self._pop()
+        self._pop_to(1)
         self._end_block()
-        blocks = self.stack[0].blocks
-        article = [text for text, inside, _ in blocks if inside]
-        recurring = sum(len(text) for text, _, again in blocks if again)
-        if recurring <= MOST_INSIDE * sum(map(len, article)):
-            blocks = [block for block in blocks if not block[2]]
-        if article and not self.host_known:
-            blocks = [block for block in blocks if block[1]]
         self.digest = signed(self.all_text)
-        self.text = "\n".join(block[0] for block in blocks)
+        self.by_lists = sum(block.listed for block in self.blocks)
+        self.text = "\n".join(block.text for block in self.blocks if not block.listed)
 
     def _text(self, value: str) -> None:
         top = self.stack[-1]
         words = " ".join(value.split()).encode("utf-8", "surrogatepass")
         top.hash.update(words)
-        if words and top.tag not in RAW:
+        raw = top.tag in RAW
+        if words and not raw:
             self.all_text.update(words + b"\n")
-        if not top.furniture:
-            self.inline.append(value if top.tag in RAW else references.unescape(value))
+        if not (raw and top.furniture):
+            self.inline.append((value if raw else references.unescape(value), top.furniture))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -213,20 +235,26 @@ class Page:
         if tag in VOID:
             self.stack[-1].hash.update(f"<{tag}>".encode())
             if tag == "br":
-                self.inline.append(" ")
+                self.inline.append((" ", False))
             return
-        parent = self.stack[-1]
+        parent, place = self.stack[-1], len(self.stack)
         element = Element(tag, attributes, parent)
         element.furniture |= parent.furniture
-        element.start = len(self.inline)
+        element.first, element.outside, element.chars = len(self.blocks), self.outside, self.chars
+        element.block, element.start = self.block, len(self.inline)
         self.stack.append(element)
+        self.places.setdefault(tag, []).append(place)
+        if tag in SCOPES:
+            self.scopes.append(place)
+        if tag in SCOPES or tag == "p" or tag in ENDED_BY:
+            self.enders.append(place)
 
     def _end_implied(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            open_tag = self.stack[i].tag
+        # Between two scopes there is at most one of each kind.
+        for place in reversed(self.enders):
+            open_tag = self.stack[place].tag
             if open_tag == "p" or tag in ENDED_BY.get(open_tag, ()):
-                while len(self.stack) > i:
-                    self._pop()
+                self._pop_to(place)
                 return
             if open_tag in SCOPES:
                 return
@@ -234,44 +262,62 @@ class Page:
     def _close(self, tag: str) -> None:
         if tag in BLOCKS:
             self._end_block()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                while len(self.stack) > i:
-                    self._pop()
-                return
-            if self.stack[i].tag in SCOPES and tag not in SCOPES:
-                return
+        places = self.places.get(tag)
+        if places and (tag in SCOPES or not self.scopes or self.scopes[-1] < places[-1]):
+            self._pop_to(places[-1])
 
     def _end_block(self) -> None:
         if not self.inline:
             return
-        text = " ".join("".join(self.inline).split())
+        inside = self.stack[-1].content
+        for listed in (False, True):
+            text = " ".join("".join([part for part, marked in self.inline if marked == listed]).split())
+            if text:
+                self.blocks.append(Block(text, inside, listed))
+                self.outside += not inside
+                self.chars += len(text) if inside and not listed else 0
         self.inline.clear()
-        for element in self.stack:
-            element.start = 0
-        if text:
-            self.stack[-1].blocks.append((text, self.stack[-1].content, False))
+        self.block += 1
+
+    def _pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self._pop()
 
     def _pop(self) -> None:
         if self.stack[-1].tag in BLOCKS:
             self._end_block()
         element = self.stack.pop()
+        place = len(self.stack)
+        self.places[element.tag].pop()
+        for some in (self.scopes, self.enders):
+            if some and some[-1] == place:
+                some.pop()
         key = signed(element.hash)
-        parent = self.stack[-1]
-        parent.hash.update(element.hash.digest())
-        blocks = element.blocks
+        self.stack[-1].hash.update(element.hash.digest())
         if element.content:
-            if element.tag in INSIDE and blocks and sum(len(block[0]) for block in blocks) <= SMALL:
+            chars = self.chars - element.chars
+            if element.tag in INSIDE and 0 < chars <= SMALL:
                 self.hashes.add(key | 1)
                 if key | 1 in self.templates:
-                    blocks = [(text, inside, True) for text, inside, _ in blocks]
+                    self.by_counts += len(self.blocks) - element.first
+                    del self.blocks[element.first :]
+                    self.chars = element.chars
         elif element.tag not in ("html", "body"):
             self.hashes.add(key & ~1)
             if key & ~1 in self.templates:
-                blocks = [block for block in blocks if block[1]]
-                if element.tag not in BLOCKS:
-                    del self.inline[element.start :]
-        parent.blocks.extend(blocks)
+                self._delete(element)
+
+    def _delete(self, element: Element) -> None:
+        """A template outside articles goes with all it holds but articles."""
+        if self.outside > element.outside:
+            held = self.blocks[element.first :]
+            self.blocks[element.first :] = [block for block in held if block.inside]
+            self.by_counts += self.outside - element.outside
+            self.outside = element.outside
+        if element.tag not in BLOCKS:
+            start = element.start if element.block == self.block else 0
+            self.by_counts += any(not part.isspace() for part, _ in self.inline[start:])
+            del self.inline[start:]
 
 
 def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
@@ -279,11 +325,11 @@ def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
     Hashes within an article are odd, others even."""
 
     def hashed(batches):
-        for batch in batches:
+        for batch in smaller(batches):
             hosts, rows, values, digests = batch.column("host").to_pylist(), [], [], []
             for row, html_ in enumerate(batch.column("html").to_pylist()):
                 page = Page(html_ or "")
-                found = [None, *page.hashes]
+                found = [None, *page.hashes]  # the null one stands for the page
                 rows += [hosts[row]] * len(found)
                 values += found
                 digests += [page.digest] * len(found)
@@ -297,59 +343,60 @@ def page_hashes(pages: DataFrame, html: str, url: str) -> DataFrame:
 
 
 def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """host and hash of the subtrees that recur on the pages of hosts with enough of them, and a
-    row with a null hash for each such host."""
+    """host and hash of the subtrees that recur on the pages of their host."""
     counts = kept(page_hashes(pages, html, url).groupBy("host", "hash").agg(F.count("*").alias("n")).where(
-        F.col("hash").isNull() | (F.col("n") >= LEAST_PAGES)
+        F.col("n") >= LEAST_PAGES
     ))
-    sizes = counts.where("hash IS NULL AND n >= %d" % LEAST_PAGES).select("host", F.col("n").alias("pages"))
+    sizes = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"))
     least = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 1, LEAST_INSIDE).otherwise(LEAST_PAGES)
     enough = F.greatest(least, F.least(F.col("pages") * LEAST_SHARE, F.sqrt("pages")))
-    return counts.join(sizes, "host").where(F.col("hash").isNull() | (F.col("n") >= enough)).select("host", "hash")
+    return counts.where("hash IS NOT NULL").join(sizes, "host").where(F.col("n") >= enough).select("host", "hash")
 
 
 def with_digests(rows: DataFrame) -> DataFrame:
     """`rows` with the digests by which `page_hashes` tells pages."""
 
     def digested(batches):
-        for batch in batches:
+        for batch in smaller(batches):
             digests = [Page(html_ or "").digest for html_ in batch.column("html").to_pylist()]
             yield batch.append_column("digest", pa.array(digests, pa.int64()))
 
     return rows.mapInArrow(digested, T.StructType([*rows.schema.fields, T.StructField("digest", T.LongType())]))
 
 
+def broadcast_bound(known: DataFrame) -> bool:
+    """Whether the templates are few enough, for every host and in all; a host has one at least."""
+    found = known.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return (found["most"] or 0) <= HOST_HASHES and (found["all"] or 0) <= BROADCAST_HASHES
+
+
 def main_text(pages: DataFrame, html: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns `keep`, `text` and `n_chars` of every page."""
     known = kept(templates(pages, html, url))
     rows = pages.select(
         F.struct(*(F.col(name) for name in keep)).alias("page"), host(url).alias("host"), F.col(html).alias("html")
     )
-    counts = known.groupBy("host").agg(F.count("hash").alias("n"))
-    found = counts.agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("n"), F.lit(0)).alias("all")).first()
-    by_host = found["most"] <= HOST_HASHES and found["all"] <= BROADCAST_HASHES
-    # The null hash of a known host adds nothing to the lists.
-    if by_host:
+    if broadcast_bound(known):
         hashes = known.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
         rows = rows.join(F.broadcast(hashes), "host", "left")
     else:
         seen = page_hashes(pages, html, url).alias("seen")
-        same = (F.col("seen.host") == F.col("known.host")) & F.col("seen.hash").eqNullSafe(F.col("known.hash"))
+        same = (F.col("seen.host") == F.col("known.host")) & (F.col("seen.hash") == F.col("known.hash"))
         own = seen.join(known.alias("known"), same).groupBy("seen.host", F.col("seen.page").alias("digest"))
         rows = with_digests(rows).join(own.agg(F.collect_list("known.hash").alias("hashes")), ["host", "digest"], "left")
+    by_host = "digest" not in rows.columns
     schema = T.StructType([rows.schema["page"], T.StructField("text", T.StringType())])
 
     def extracted(batches):
-        sets: dict[str, frozenset[int] | None] = {}
-        for batch in batches:
+        sets: dict[str, frozenset[int]] = {}
+        for batch in smaller(batches):
             hosts, found = batch.column("host").to_pylist(), batch.column("hashes")
             texts = []
             for row, page in enumerate(batch.column("html").to_pylist()):
                 if not by_host or hosts[row] not in sets:
                     if len(sets) > 1_000:
                         sets.clear()
-                    known_ = found[row].as_py()
-                    sets[hosts[row]] = None if known_ is None else frozenset(known_)
+                    sets[hosts[row]] = frozenset(found[row].as_py() or ())
                 texts.append(Page(page or "", sets[hosts[row]]).text)
             yield pa.RecordBatch.from_arrays([batch.column("page"), pa.array(texts, pa.string())], names=["page", "text"])
 

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from lexiband.llm import html
@@ -61,7 +63,8 @@ def test_what_recurs_on_a_host_goes(spark):
 def test_articles_stay_where_they_recur(spark):
     rows = [(i, "http://a.example/", "<article><p>the same story</p></article><div>menu</div>", "", "") for i in range(50)]
     found = html.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert {r.text for r in found} == {"the same story"} and len(found) == 50
+    # One page in fifty copies: nothing tells that the box is a menu, on this host as on any other.
+    assert {r.text for r in found} == {"the same story\nmenu"} and len(found) == 50
     assert html.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
@@ -121,3 +124,81 @@ def test_pages_meet_their_own_hashes_beyond_a_bound(spark, monkeypatch, bound):
     monkeypatch.setattr(html, bound, 0)
     test_a_story_beside_teaser_articles_stays(spark)
     test_copies_of_a_page_keep_their_text(spark)
+
+
+def test_one_rule_for_every_host(spark):
+    """A block beside an article that recurs nowhere stays, however many pages its host has."""
+    page_ = "<div>beside {0}</div><article><p>story {0}</p></article>"
+    for n in (1, 4, 5, 30):
+        assert texts_of(spark, *(page_.format(i) for i in range(n))) == [f"beside {i}\nstory {i}" for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "page_",
+    [
+        "<" + "a" * 1_000_000,
+        "<p " + "a" * 1_000_000,
+        "<p>" * 50_000 + "x",
+        "<div>" * 50_000 + "x",
+        "<b>" * 50_000 + "<hr>" * 50_000,
+        "<b>" * 50_000 + "</i>" * 50_000,
+        "<div><p>x</p>" * 50_000,
+        "<article>" + "<div>x" * 50_000,
+        "<ul><li>" * 25_000 + "x",
+        "<a b='" * 50_000,
+        "<a b=\">\"" * 50_000,
+        "<a\">\"" * 50_000,
+        "\"" * 50_000 + "<p x=\"" + "'" * 50_000,
+        "<a x='>" * 50_000 + "<a x=\"'>" * 50_000,
+        "<p =" + " =" * 300_000 + ">x",
+        "&" * 500_000 + "<!--" * 50_000,
+        "<script>" * 50_000,
+        "<" * 500_000,
+    ],
+)
+def test_no_page_holds_the_reader_up(page_):
+    start = time.monotonic()
+    html.Page(page_)
+    assert time.monotonic() - start < 5
+
+
+def test_ends_of_tags():
+    assert text_of("<p title='a>b' x=\"c>d\">y") == "y"
+    assert text_of("<p title=\"open>y</p><p>z") == "y\nz"
+    assert text_of("<p it's>y<p x = '>'>z") == "y\nz"
+
+
+def made_site(n):
+    """Pages whose furniture has no telling names, with what stays marked by the word story."""
+    return [
+        f"<body><div class=a1><a href=/>home</a> <a href=/n>news</a></div><div class=b2><p>box of the week</p></div>"
+        f"<section class=c3><h1>story {i}</h1><p>story text {i * 7}</p><p>story end {i * 3}</p></section>"
+        f"<div class=d4><p>all rights {i % 2}</p><p>imprint</p></div></body>"
+        for i in range(n)
+    ]
+
+
+def test_counts_alone_clean_what_has_no_names(spark):
+    for i, text in enumerate(texts_of(spark, *made_site(40))):
+        assert text == f"story {i}\nstory text {i * 7}\nstory end {i * 3}"
+
+
+def test_counts_come_first_and_lists_take_the_rest():
+    nav = "<nav><p>menu</p><p>more</p></nav>"
+    page_ = f"<body>{nav}<p>story</p><footer><p>on page 7</p></footer></body>"
+    plain = html.Page(page_)
+    assert (plain.text, plain.by_counts, plain.by_lists) == ("story", 0, 3)
+    counted = html.Page(page_, frozenset(html.Page(nav).hashes))
+    assert (counted.text, counted.by_counts, counted.by_lists) == ("story", 2, 1)
+
+
+def test_share_of_counts_and_lists_on_the_given_pages(spark):
+    """What each of the two deletes; by the lists alone the texts would be the same."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    known = {}
+    for row in html.templates(pages).collect():
+        known.setdefault(row.host, set()).add(row.hash)
+    rows = pages.select("html", html.host("url").alias("host")).collect()
+    read = [html.Page(row.html or "", frozenset(known.get(row.host, ()))) for row in rows]
+    assert (sum(one.by_counts for one in read), sum(one.by_lists for one in read)) == (1901, 17222)
+    assert [one.text for one in read] == [html.Page(row.html or "").text for row in rows]
