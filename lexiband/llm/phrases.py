@@ -28,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexiband.llm.common import kept, small, stored
-from lexiband.operators.ranking import with_rank
 
 WORDS, PART, LONGEST, LEAST, COVERED, BEST, SCALE = 1 << 19, 1 << 20, 3, 10, 50, 2000, 1_000_000
 UNKNOWN = "und"
@@ -244,15 +244,37 @@ def told_by_words(phrases: DataFrame, length: int, base: int) -> DataFrame:
 
 
 def counted_words(indexes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """(w0, grp, word, n) of the frequent words of all shards, numbered by frequency, and, a row
-    a shard, (shard, number): the vocabulary's for each of the shard's own, 0 for none."""
+    """(w0, grp, word, n) of the frequent words of all shards, numbered from 1, and, a row
+    a shard, (shard, number): the vocabulary's for each of the shard's own, 0 for none.
+
+    The words of all shards are shuffled once. They lie side by side in a partition, where they are
+    summed and numbered as they pass; a partition's first number is how many those before it have.
+    """
     words = indexes.select("shard", "grp", F.posexplode(F.arrays_zip("words", "counts")).alias("own", "at")).select(
-        "shard", "grp", (F.col("own") + 1).alias("own"), F.col("at.words").alias("word"), F.col("at.counts").alias("n")
+        "grp", F.col("at.words").alias("word"), "shard", (F.col("own") + 1).alias("own"), F.col("at.counts").alias("n")
     )
-    sums = words.groupBy("grp", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    ranked = with_rank(sums.withColumnRenamed("n", "count"), [F.desc("count"), F.asc("grp"), F.asc("word")])
-    vocabulary = stored(ranked.select(F.col("rank").alias("w0"), "grp", "word", F.col("count").alias("n")), "phrase-words")
-    known = small(vocabulary.select("grp", "word", "w0"))
+
+    def summed(batches):
+        part, place, waiting = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = (table if waiting is None else pa.concat_tables([waiting, table])).combine_chunks()
+            if table.num_rows:
+                starts = word_starts(table)
+                waiting = table.slice(starts[-1])  # its word may go on
+                place, some = frequent_words(table.slice(0, starts[-1]), starts[:-1], part, place, least)
+                yield from some.to_batches()
+        if waiting is not None:
+            yield from frequent_words(waiting, np.zeros(1, np.int64), part, place, least)[1].to_batches()
+
+    schema = "shard long, own int, part int, place long, grp string, word string, n long"
+    dealt = words.repartition("grp", "word").sortWithinPartitions("grp", "word")
+    found = stored(dealt.mapInArrow(summed, schema), "phrase-words")
+    # A row for each partition of the shuffle.
+    sizes = found.groupBy("part").agg((F.max("place") + 1).alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    numbered = found.join(F.broadcast(kept(firsts)), "part").withColumn("w0", F.col("first") + F.col("place") + 1)
 
     def gathered(key, table):
         own, numbers = table.column("own").to_numpy(), table.column("w0").to_numpy()
@@ -260,10 +282,44 @@ def counted_words(indexes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
         number[own] = numbers
         return pa.table({"shard": [key[0].as_py()], "number": pa.array([packed(number)], pa.binary())})
 
-    places = words.join(known, ["grp", "word"]).select("shard", "own", "w0").groupBy("shard")
+    vocabulary = stored(numbered.where("word IS NOT NULL").select("w0", "grp", "word", "n"), "phrase-vocabulary")
+    places = numbered.select("shard", "own", "w0").groupBy("shard")
     return vocabulary, stored(places.applyInArrow(gathered, "shard long, number binary"), "phrase-numbers")
 
 
+def word_starts(table: pa.Table) -> np.ndarray:
+    """The rows where another word begins than in the row before."""
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for name in ("grp", "word"):
+        column = table.column(name).combine_chunks()
+        new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def frequent_words(table: pa.Table, starts: np.ndarray, part: int, place: int, least: int) -> tuple[int, pa.Table]:
+    """The rows of the words that are frequent, numbered from `place`, and the next number. A word's
+    first row has its group, itself and its count."""
+    sizes = np.diff(starts, append=table.num_rows)
+    counts = np.add.reduceat(table.column("n").to_numpy(), starts) if len(starts) else np.empty(0, np.int64)
+    many = counts >= least
+    numbers = place + np.cumsum(many) - 1
+    rows = np.flatnonzero(np.repeat(many, sizes))
+    first = np.zeros(table.num_rows, bool)
+    first[starts] = True
+    some, first = table.take(pa.array(rows)), pa.array(~first[rows])
+    columns = {
+        "shard": some.column("shard"),
+        "own": some.column("own"),
+        "part": pa.array(np.full(len(rows), part, np.int32)),
+        "place": pa.array(np.repeat(numbers, sizes)[rows]),
+        "grp": pc.replace_with_mask(some.column("grp"), first, pa.scalar(None, pa.string())),
+        "word": pc.replace_with_mask(some.column("word"), first, pa.scalar(None, pa.string())),
+        "n": pa.array(np.repeat(counts, sizes)[rows]),
+    }
+    return place + int(many.sum()), pa.table(columns)
+
+
 def longer(indexes: DataFrame, numbers: DataFrame, frequent: DataFrame | None, length: int, base: int) -> DataFrame:
     """shard, the phrase, n: the phrases of `length` words in each shard of which all words, and both
     parts that are one word shorter, are frequent. `frequent` has those parts per shard; without
