@@ -46,6 +46,7 @@ def result(df):
         [(None, None, None, None), (None, 1, "a", "x"), (None, None, "b", "")],
         [(7, i, f"p{i % 3}", f"turn {i}") for i in range(500)] + [(8, 0, "p0", "w" * 100_000)],
         [(1, 0, "a", "same"), (1, 0, "a", "same"), (1, 0, "b", "same")],
+        [(1, 0, "a", "first"), *[(1, 1, "b", "again")] * 9_000, (1, 2, "a", "last"), *[(2, None, None, None)] * 3],
     ],
 )
 @pytest.mark.parametrize("turns", [2, 64])
@@ -56,3 +57,21 @@ def test_equals_brute_force(spark, rows, turns):
 def test_no_python_on_the_executors(spark):
     plan = chat.perspectives(frame(spark, [(1, 0, "a", "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Places and participants that are too many to be broadcast are joined by a shuffle."""
+    monkeypatch.setattr(chat, "small", lambda df: df)
+    rows = [(i % 7 or None, i // 7, f"p{i % 3}", f"turn {i % 50}") for i in range(700)]
+    assert result(chat.perspectives(frame(spark, rows), turns=8)) == brute(rows, 8)
+
+
+def test_texts_move_once(spark):
+    """One exchange of the plan has bodies; what was ranked has none, and its copies are gone."""
+    from lexiband.operators import ranking
+
+    rows = [(i % 7, i // 7, f"p{i % 3}", f"turn {i}") for i in range(100)]
+    before = ranking.standing()
+    plan = chat.perspectives(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert ranking.standing() == before
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 2  # of single turns and of copies
