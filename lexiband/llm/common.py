@@ -7,12 +7,12 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiband.session import new_shared_path, use_shared_folder
+from lexiband.session import kept_files, new_shared_path, remove, use_shared_folder
 
 # A table of at most this many rows is broadcast; callers hold their rows under about 100 bytes.
 BROADCAST_ROWS = 200_000
 
-_written: list[str] = []
+_written: list[str | None] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -28,23 +28,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of a narrow table; Spark removes it with the last reference
-    where spark.cleaner.referenceTracking.cleanCheckpoints is on."""
+    """A reliable checkpoint of a narrow table. It stays until `release`, or until the last
+    reference is gone where spark.cleaner.referenceTracking.cleanCheckpoints is on."""
     use_shared_folder(df.sparkSession)
-    return df.checkpoint()
+    checkpointed = df.checkpoint()
+    _written.append(kept_files(checkpointed))
+    return checkpointed
 
 
 def written() -> int:
-    """How many tables `stored` has written that were not released: a mark for `release`."""
+    """How many tables of `stored` and `kept` were not released: a mark for `release`."""
     return len(_written)
 
 
 def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete what `stored` has written since the mark, when the results have been written."""
-    jvm = spark.sparkContext._jvm
+    """Delete what `stored` and `kept` have written since the mark, when the results have been written."""
     while len(_written) > since:
-        target = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, _written.pop())
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

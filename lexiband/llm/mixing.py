@@ -38,7 +38,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiband.llm.common import BROADCAST_ROWS, kept, small
+from lexiband.llm.common import BROADCAST_ROWS, kept, small, stored
 
 # Sweeps are at least SWEEPS and go on until no share is further off its target than TOLERANCE
 # of it. They end unfinished, with a warning, after MOST_SWEEPS or when they gain nothing more.
@@ -139,13 +139,13 @@ def shares_held(cells_: DataFrame, names: Sequence[str], amount: Column) -> Data
         sums = cells_.groupBy(key).agg(
             F.first(f"share_{key}").alias("share"), F.sum(amount).alias("held"), F.sum("tokens").alias("tokens")
         ).where("tokens > 0")
-        totals = sums.agg(F.sum("share").alias("shares"), F.sum("held").alias("all_held"))
+        shares, all_held = sums.agg(F.sum("share")).scalar(), sums.agg(F.sum("held")).scalar()
         tables.append(
-            sums.join(F.broadcast(totals)).select(
+            sums.select(
                 F.lit(key).alias("dimension"),
                 F.col(key).alias("value"),
-                F.when(F.col("shares") > 0, F.col("share") / F.col("shares")).otherwise(0.0).alias("share"),
-                F.when(F.col("all_held") > 0, F.col("held") / F.col("all_held")).otherwise(0.0).alias("reached"),
+                F.when(shares > 0, F.col("share") / shares).otherwise(0.0).alias("share"),
+                F.when(all_held > 0, F.col("held") / all_held).otherwise(0.0).alias("reached"),
             )
         )
     out = tables[0]
@@ -213,10 +213,10 @@ def rest_raked(parts: DataFrame, names: Sequence[str], asked: float, few: bool)
             )
             remains = F.greatest(F.col("share") * asked - F.col("fixed"), F.lit(0.0))
             sums = sums.select(key, "held", F.when(F.col("held") > 0, remains).otherwise(0.0).alias("remains"))
-            total = sums.agg(F.sum("remains").alias("total"))
-            scaled = sums.join(F.broadcast(total)).select(
+            total = sums.agg(F.sum("remains")).scalar()
+            scaled = sums.select(
                 key,
-                F.when((F.col("held") > 0) & (F.col("total") > 0), F.col("remains") / F.col("held") / F.col("total") * rest)
+                F.when((F.col("held") > 0) & (total > 0), F.col("remains") / F.col("held") / total * rest)
                 .otherwise(1.0)
                 .alias("factor"),
             )
@@ -262,6 +262,39 @@ def report(chances: DataFrame, names: Sequence[str], asked: float) -> None:
         log.warning("share of %s %r: %.4g asked for, %.4g reached", row.dimension, row.value, row.share, row.reached)
 
 
+def chances_of(
+    summed: DataFrame,
+    dims: Mapping[str, Column],
+    targets: Mapping[str, DataFrame] | None = None,
+    alpha: float = 0.9,
+    sweeps: int | None = None,
+    budget: float | None = None,
+    exact: bool = False,
+) -> DataFrame:
+    """The `cells` with their target shares, weight and probability; settings as of `mixed`."""
+    if budget is None and not targets and not exact:
+        budget = BUDGET
+    shares = []
+    for name, key in zip(dims, key_names(dims)):
+        if targets and name in targets:
+            value = F.coalesce(F.concat(F.lit("="), F.col("value").cast("string")), F.lit(""))
+            shares.append(targets[name].select(value.alias(key), F.col("share").cast("double")))
+        else:
+            shares.append(tempered(summed, key, alpha))
+    raked = raked_with_shares(summed, shares, sweeps)
+    return calibrated(raked) if budget is None or exact else budgeted(raked, budget)
+
+
+def shares_reached(docs: DataFrame, dims: Mapping[str, Column], text: str = "text", **settings) -> DataFrame:
+    """dimension, value (null among them), the `share` asked for and the one `reached` by the expected
+    tokens, for every value with tokens: what a caller checks before a sample is drawn."""
+    chances = kept(chances_of(kept(cells(docs, dims, text)), dims, **settings))
+    held = shares_held(chances, key_names(dims), F.col("tokens") * F.col("probability"))
+    named = F.create_map(*(F.lit(x) for pair in zip(key_names(dims), dims) for x in pair))
+    value = F.when(F.col("value") != "", F.substring("value", 2, 1 << 30))
+    return held.select(named[F.col("dimension")].alias("dimension"), value.alias("value"), "share", "reached")
+
+
 def mixed(
     docs: DataFrame,
     dims: Mapping[str, Column],
@@ -273,33 +306,28 @@ def mixed(
     sweeps: int | None = None,
     budget: float | None = None,
     exact: bool = False,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """`doc`, a struct of the columns of `docs`, its tokens, cell weight, probability and
     whether it is `kept`.
 
     `targets` has a table (value, share) for each dimension that is not to have the tempered
     shares of the documents themselves. `budget` and `exact` say how much is kept, see above.
+    A caller who wants no text names the columns to `keep`: the texts are then read once, as a narrow
+    table of their keys and tokens stays.
     """
-    if budget is None and not targets and not exact:
-        budget = BUDGET
     names = key_names(dims)
-    summed = kept(cells(docs, dims, text))
-    shares = []
-    for name, key in zip(dims, names):
-        if targets and name in targets:
-            value = F.coalesce(F.concat(F.lit("="), F.col("value").cast("string")), F.lit(""))
-            shares.append(targets[name].select(value.alias(key), F.col("share").cast("double")))
-        else:
-            shares.append(tempered(summed, key, alpha))
-    raked = raked_with_shares(summed, shares, sweeps)
-    chances = calibrated(raked) if budget is None or exact else budgeted(raked, budget)
-    chances = kept(chances.select(*names, "weight", "probability"))
     rows = docs.select(
-        F.struct("*").alias("doc"),
+        F.struct(*(keep or "*")).alias("doc"),
         *dimension_keys(dims),
         token_count(F.col(text)).alias("tokens"),
         draw(doc_id, text, seed).alias("draw"),
     )
+    if keep is not None:
+        rows = stored(rows, "mixed-rows")
+    summed = kept(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
+    chances = chances_of(summed, dims, targets, alpha, sweeps, budget, exact)
+    chances = kept(chances.select(*names, "weight", "probability"))
     return rows.join(small(chances), names).select(
         "doc", "tokens", "weight", "probability", (F.col("draw") < F.col("probability")).alias("kept")
     )

@@ -281,7 +281,13 @@ def packed(pieces_: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", capacity: int = CAPACITY
+    docs: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    capacity: int = CAPACITY,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """Cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return packed(pieces(docs, tokenizer, text, doc_id, capacity), capacity)
+    """Cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the pieces'
+    `ids` before these two if asked for."""
+    return packed(pieces(docs, tokenizer, text, doc_id, capacity, with_ids), capacity)

@@ -44,7 +44,8 @@ def mixing_dimensions() -> dict[str, Column]:
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = mixing_dimensions()
     # Its SQL divides by the largest ratio.
-    drawn = mixing.mixed(_table(spark, sf_dir, "documents"), dims, alpha=ALPHA, exact=True)
+    columns = ["doc_id", "source", "lang"]
+    drawn = mixing.mixed(_table(spark, sf_dir, "documents"), dims, alpha=ALPHA, exact=True, keep=columns)
     return drawn.select(
         "doc.doc_id",
         "doc.source",

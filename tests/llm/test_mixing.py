@@ -114,3 +114,22 @@ def test_an_odd_document_leaves_the_kept_share_as_it_was(spark, caplog):
     assert drawn.probability[drawn.doc_id == -1].item() == 1.0
     assert {k: v for k, v in shares[1].items() if k != "odd"} == pytest.approx(shares[0], rel=0.01)
     assert "share of d0 '=odd'" in caplog.text
+
+
+def test_reached_shares_are_told(spark):
+    """With targets that the documents can meet, and with a value that has too few tokens for its share."""
+    rows = [(i, "w " * 10, "a" if i % 4 else "b", None if i % 2 else "en") for i in range(400)]
+    told = mixing.shares_reached(frame(spark, rows), dims()).collect()
+    assert {(r.dimension, r.value) for r in told} == {("source", "a"), ("source", "b"), ("lang", None), ("lang", "en")}
+    assert all(abs(r.share - r.reached) <= mixing.TOLERANCE * r.share for r in told)
+    targets = {"source": spark.createDataFrame([("a", 0.1), ("b", 0.9)], "value STRING, share DOUBLE")}
+    told = {(r.dimension, r.value): r for r in mixing.shares_reached(frame(spark, rows), dims(), targets=targets, budget=0.6).collect()}
+    assert told["source", "b"].share == pytest.approx(0.9) and told["source", "b"].reached < 0.5
+
+
+def test_narrow_rows_are_the_same(spark):
+    rows = [(i, "w " * (i % 7), f"s{i % 3}", "en") for i in range(200)]
+    docs = frame(spark, rows)
+    whole = mixing.mixed(docs, dims()).select("doc.doc_id", "tokens", "probability", "kept")
+    narrow = mixing.mixed(docs, dims(), keep=["doc_id"]).select("doc.doc_id", "tokens", "probability", "kept")
+    assert sorted(whole.collect()) == sorted(narrow.collect())

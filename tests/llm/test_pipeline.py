@@ -1,4 +1,9 @@
+import zlib
+from pathlib import Path
+from urllib.parse import urlparse
+
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from lexiband.llm import mixing, packing, queries, toxicity
@@ -24,6 +29,23 @@ def test_stages_follow_each_other(spark):
     assert set(found.doc_id) == want and 0 < len(want) < 200
     lengths = found.groupby("sequence_id").length.sum()
     assert lengths.max() <= packing.CAPACITY
+    assert (found.ids.map(len) == found.length).all()
+    assert all(zlib.crc32(np.array(ids, "<u4").tobytes()) == crc for ids, crc in zip(found.ids, found.ids_crc32))
+
+
+def test_nothing_but_the_result_stays(spark):
+    """Tables that stages kept for themselves, checkpoints, and what one stage wrote for the next."""
+    import gc
+
+    from lexiband.session import use_shared_folder
+
+    folder = Path(urlparse(use_shared_folder(spark)).path)
+    gc.collect()
+    before = {path for path in folder.iterdir()}
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    new = {path.name for path in folder.iterdir()} - {path.name for path in before}
+    assert out.count() > 0
+    assert len(new) == 1 and new.pop().startswith("best_fit_packing-")
 
 
 def test_every_stage_takes_empty_tables_and_keeps_the_columns(spark):
@@ -41,3 +63,8 @@ def test_operators_without_python_run_none(spark, name):
     query = next(q for q in queries.QUERIES if q.__name__ == name)
     plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan and "InArrow" not in plan
+
+
+def test_mixing_has_no_join_without_keys_and_reads_the_texts_once(spark, caplog):
+    plan = queries.op1_mix_sources(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "text" not in plan
