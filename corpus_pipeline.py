@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiband.llm import content_sort, mixing, packing, simhash, toxicity
 from lexiband.llm.common import release, written
 from lexiband.llm.queries import ALPHA, mixing_dimensions
-from lexiband.session import new_shared_path
+from lexiband.session import new_shared_path, remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [
@@ -44,13 +44,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`, each written to the shared folder and read again. What a stage kept
+    for itself, and what it read, is deleted when its result stands; the last result stays."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path, mark = new_shared_path(spark, name), written()
         stage(spark, docs, sf_dir).write.parquet(path)
         release(spark, mark)
-        docs = spark.read.parquet(path)
+        remove(spark, read)
+        docs, read = spark.read.parquet(path), path
     return docs
 
 
