@@ -75,7 +75,7 @@ class Encoder:
     and every text of any other tokenizer, goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str, words: int = 500_000):
+    def __init__(self, path: str, words: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words, self.batch = Tokenizer.from_file(path), words, 0
@@ -271,10 +271,11 @@ def packed(pieces_: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
     )
 
     def pack(key, table):
-        table = table.sort_by("_row").drop_columns(["_row", "_block"])
-        number, offset = best_two_fit(table.column("length").to_numpy(), capacity)
+        order = np.argsort(table.column("_row").to_numpy())  # the table, ids and all, is not copied
+        number, offset = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        number[order], offset[order] = best_two_fit(table.column("length").to_numpy()[order], capacity)
         number += key[0].as_py() << 32
-        table = table.append_column("sequence_id", pa.array(number))
+        table = table.drop_columns(["_row", "_block"]).append_column("sequence_id", pa.array(number))
         return table.append_column("offset", pa.array(offset))
 
     return dealt.groupBy("_block").applyInArrow(pack, schema)
