@@ -206,13 +206,17 @@ def _calibrated(feature: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> t
 
 def scored(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("*",)) -> DataFrame:
     """`doc`, a struct of the columns `keep` of `docs`, and its `score` between 0 and 1."""
-    rows = docs.select(F.struct(*keep).alias("doc"), F.col(text).alias("_text"))
+    # A text that is kept goes to Python once, in the struct.
+    names = docs.columns if keep == ("*",) else list(keep)
+    place = names.index(text) if text in names else None
+    rows = docs.select(F.struct(*keep).alias("doc"), *([F.col(text).alias("_text")] if place is None else []))
     fields = [rows.schema["doc"], T.StructField("score", T.DoubleType())]
 
     def measured(batches):
         distance = Distance(model.ordinary, model.toxic)
-        for batch, texts in texts_of(pieces(batches), "_text"):
-            score = model.score(np.array([distance(text) for text in texts]))
+        for batch in pieces(batches):
+            texts = batch.column("_text") if place is None else batch.column("doc").field(place)
+            score = model.score(np.array([distance(text or "") for text in texts.to_pylist()]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(score)], names=["doc", "score"])
 
     return rows.mapInArrow(measured, T.StructType(fields))
