@@ -91,7 +91,9 @@ def _sorted_rows(docs: DataFrame, text: str, doc_id: str, keep: str, carry: bool
         normalised(text).alias("norm"),
     ).select("*", F.substring("norm", 1, PREFIX).alias("key"), F.sha2("norm", 256).alias("sha"))
     ordered = rows.repartitionByRange("key", "sha", by_id).sortWithinPartitions("key", "sha", "norm", by_id)
-    ordered = ordered.drop("key")
+    # A text that is carried goes to Python once, as it is; there it is brought to lower case again.
+    ordered = ordered.drop("key", "norm") if carry else ordered.drop("key")
+    place = docs.columns.index(text) if carry else None
     kept_fields = [field for field in ordered.schema.fields if field.name != "norm"]
     marks = [
         T.StructField("part", T.IntegerType()),
@@ -108,7 +110,7 @@ def _sorted_rows(docs: DataFrame, text: str, doc_id: str, keep: str, carry: bool
             n = batch.num_rows
             if not n:
                 continue
-            norm = batch.column("norm")
+            norm = batch.column("norm") if place is None else pc.ascii_lower(pc.fill_null(batch.column("doc").field(place), ""))
             first = np.ones(n, dtype=bool)
             first[0] = last is None or norm[0].as_py() != last
             first[1:] = pc.not_equal(norm[1:], norm[:-1]).to_numpy(zero_copy_only=False)
