@@ -90,7 +90,12 @@ def _sorted_rows(docs: DataFrame, text: str, doc_id: str, keep: str, carry: bool
         F.col(doc_id).alias("id"),
         normalised(text).alias("norm"),
     ).select("*", F.substring("norm", 1, PREFIX).alias("key"), F.sha2("norm", 256).alias("sha"))
-    ordered = rows.repartitionByRange("key", "sha", by_id).sortWithinPartitions("key", "sha", "norm", by_id)
+    if carry:  # a text that is carried is shuffled once, as it is
+        rows = rows.drop("norm")
+    dealt = rows.repartitionByRange("key", "sha", by_id)
+    if carry:
+        dealt = dealt.withColumn("norm", normalised(f"doc.{text}"))
+    ordered = dealt.sortWithinPartitions("key", "sha", "norm", by_id)
     # A text that is carried goes to Python once, as it is; there it is brought to lower case again.
     ordered = ordered.drop("key", "norm") if carry else ordered.drop("key")
     place = docs.columns.index(text) if carry else None
