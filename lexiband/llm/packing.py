@@ -30,8 +30,11 @@ from lexiband.llm.common import pieces as smaller
 CAPACITY, END_ID, BLOCK = 4096, 1, 1 << 14
 # Texts in which white space alone parts what the tokenizer sees: printable ASCII and Latin-1.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xac\xae-\xff]*")
-STOP = re.compile(r"(?:[^\w\s]|_)[.,]\s")
+STOP = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])\s")  # looked for from its rarer end
 BLANKS = " \n\t\r\x0b\x0c"
+# What READS splits a plain word in lower case into.
+LETTERS, NUMERALS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMERALS}]|[^\s{LETTERS}{NUMERALS}]+")
 # How a tokenizer reads a text if words can be encoded apart from one another, lower
 # case, white space dropped, and what it splits words at.
 READS = {
@@ -70,13 +73,14 @@ class Encoder:
 
     A tokenizer that READS so drops white space and never looks across it, so the ids of a plain text are
     those of its words one after the other. Words are encoded once and remembered; new ones
-    go to the tokenizer together, parted by a control character that plain texts don't have.
-    Beyond `words` of them, the half that was used longest ago is forgotten. Any other text,
-    and every text of any other tokenizer, goes to the tokenizer whole.
+    go to the tokenizer's own model together, split as it READS, so that no normalising and splitting of
+    any Unicode is paid for; a control character that plain texts don't have parts them. Beyond `words`
+    of them, the half that was used longest ago is forgotten. Any other text, and every text of any
+    other tokenizer, goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, words: int = 300_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.words, self.batch = Tokenizer.from_file(path), words, 0
         told = json.loads(self.tokenizer.to_str())
@@ -85,8 +89,12 @@ class Encoder:
             "pre_tokenizer": (told["pre_tokenizer"] or {}).get("pretokenizers"),
         }
         mark = self.tokenizer.encode("\x02", add_special_tokens=False).ids
-        self.by_words = reads == READS and len(mark) == 1 and told["model"]["type"] == "BPE"
+        added = all("<|" in token["content"] for token in told["added_tokens"])  # no plain text that goes by words has one
+        self.by_words = reads == READS and len(mark) == 1 and told["model"]["type"] == "BPE" and added
         self.mark = mark[0] if mark else None
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.of_parts = Tokenizer(self.tokenizer.model)  # the model is shared, not copied
+        self.of_parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), in_bytes])
         # The ids of all words one after the other, and of each word where, how many, last used when.
         self.numbers, self.held = Numbers(), np.empty(0, "<u4")
         self.starts, self.lengths, self.used = (np.empty(0, np.int64) for _ in range(3))
@@ -123,11 +131,11 @@ class Encoder:
                     text = text.replace("." + blank, " ." + blank).replace("," + blank, " ," + blank)
         return text.split()
 
-    def _learn(self, words: list[str], at_once: int = 2_000) -> None:
+    def _learn(self, words: list[str], at_once: int = 500) -> None:
         ids, sizes = [self.held], [self.lengths]
         for i in range(0, len(words), at_once):
-            some = words[i : i + at_once]
-            found = self._ids(" \x02 ".join(some))
+            some = [word if word.isalpha() else " ".join(PARTS.findall(word)) for word in words[i : i + at_once]]
+            found = self._ids(" \x02 ".join(some), self.of_parts)
             parts = np.flatnonzero(found == self.mark)
             ids.append(found[found != self.mark])
             sizes.append(np.diff(parts, prepend=-1, append=len(found)) - 1)
@@ -146,8 +154,8 @@ class Encoder:
         self.held = np.concatenate([self.held[:0], *ids])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
-    def _ids(self, text: str) -> np.ndarray:
-        (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+    def _ids(self, text: str, tokenizer=None) -> np.ndarray:
+        (encoding,) = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoding.ids, dtype="<u4")
 
 
