@@ -6,20 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiband.llm import content_sort, mixing, packing, simhash, toxicity
-from lexiband.llm.common import release, written
+from lexiband.llm.common import release, small_batches, written
 from lexiband.llm.queries import ALPHA, mixing_dimensions
 from lexiband.session import new_shared_path, remove
 
+# Words whose ids a Python worker remembers: fewer than packing alone does, as executors have more to hold here.
+WORDS = 100_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return content_sort.drop_duplicates(docs, keep="largest")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -28,7 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    small_batches(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), words=WORDS)
 
 
 STAGES = [

@@ -11,6 +11,8 @@ from lexiband.session import kept_files, new_shared_path, remove, use_shared_fol
 
 # A table of at most this many rows is broadcast; callers hold their rows under about 100 bytes.
 BROADCAST_ROWS = 200_000
+# Spark gives Python 10,000 rows at a time, of long texts dozens of MB, held several times on both sides.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "2m"
 
 _written: list[str | None] = []
 
@@ -56,6 +58,11 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of about BATCH_BYTES, in this session from now on, as results are lazy."""
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def pieces(batches: Iterable, rows: int = 512) -> Iterator:
     """The batches in smaller ones, so that a task holds few texts as Python objects."""
     for batch in batches:

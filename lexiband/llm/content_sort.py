@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lexiband.llm.common import stored
+from lexiband.llm.common import pieces, stored
 
 PREFIX = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -111,7 +111,7 @@ def _sorted_rows(docs: DataFrame, text: str, doc_id: str, keep: str, carry: bool
 
     def mark(batches):
         part, pos, run, last = TaskContext.get().partitionId(), 0, -1, None
-        for batch in batches:
+        for batch in pieces(batches):
             n = batch.num_rows
             if not n:
                 continue

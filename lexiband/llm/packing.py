@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from lexiband.llm.common import kept, texts_of
 from lexiband.llm.common import pieces as smaller
 
-CAPACITY, END_ID, BLOCK = 4096, 1, 1 << 14
+CAPACITY, END_ID, BLOCK, WORDS = 4096, 1, 1 << 14, 300_000
 # Texts in which white space alone parts what the tokenizer sees: printable ASCII and Latin-1.
 PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xac\xae-\xff]*")
 STOP = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])\s")  # looked for from its rarer end
@@ -79,7 +79,7 @@ class Encoder:
     other tokenizer, goes to the tokenizer whole.
     """
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.words, self.batch = Tokenizer.from_file(path), words, 0
@@ -159,14 +159,14 @@ class Encoder:
         return np.array(encoding.ids, dtype="<u4")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words: int = WORDS) -> Encoder:
     """One per Python worker, as reading the vocabulary takes longer than many texts."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, words) not in _encoders:
+        _encoders[path, words] = Encoder(path, words)
+    return _encoders[path, words]
 
 
 def pieces(
@@ -176,8 +176,10 @@ def pieces(
     doc_id: str = "doc_id",
     capacity: int = CAPACITY,
     with_ids: bool = False,
+    words: int = WORDS,
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece, and its `ids` if asked for."""
+    """doc_id, piece, start, length, ids_crc32 of every piece, and its `ids` if asked for. A Python worker
+    remembers the ids of `words` words."""
     fields = [
         T.StructField("doc_id", docs.schema[doc_id].dataType),
         T.StructField("piece", T.IntegerType()),
@@ -189,7 +191,7 @@ def pieces(
     end, width = np.array([END_ID], dtype="<u4").tobytes(), 4 * capacity
 
     def cut(batches):
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, words).encode
         for batch, texts in texts_of(smaller(batches), "text"):
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, data in enumerate(encode(texts)):
@@ -296,7 +298,8 @@ def pack_documents(
     doc_id: str = "doc_id",
     capacity: int = CAPACITY,
     with_ids: bool = False,
+    words: int = WORDS,
 ) -> DataFrame:
     """Cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the pieces'
     `ids` before these two if asked for."""
-    return packed(pieces(docs, tokenizer, text, doc_id, capacity, with_ids), capacity)
+    return packed(pieces(docs, tokenizer, text, doc_id, capacity, with_ids, words), capacity)

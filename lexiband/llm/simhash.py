@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiband.llm.common import kept, texts_of
+from lexiband.llm.common import kept, pieces, texts_of
 from lexiband.llm.components import components
 
 SHINGLE, RADIUS, SEED, BLOCK = 4, 4, 42, 1 << 14
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", si
     )
 
     def hashed(batches):
-        for batch, texts in texts_of(batches, "text"):
+        for batch, texts in texts_of(pieces(batches), "text"):
             bits = pa.array([simhash(text, size) for text in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bits], names=["doc_id", "bits"])
 

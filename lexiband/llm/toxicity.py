@@ -67,8 +67,10 @@ class Model(NamedTuple):
 class Codes(dict):
     """Word to code, remembered up to a bound."""
 
+    MOST = 50_000
+
     def __missing__(self, word: str) -> bytes:
-        if len(self) > 200_000:
+        if len(self) >= self.MOST:
             self.clear()
         code = self[word] = xxhash.xxh128_digest(word.encode("utf-8", "surrogatepass"))
         return code

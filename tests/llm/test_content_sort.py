@@ -73,3 +73,19 @@ def test_a_group_over_many_partitions_is_one(spark, frame):
         assert result(content_sort.duplicate_groups(df, keep="largest")) == brute(rows, "largest")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_large_batches_are_taken_in_pieces(spark, carry):
+    """Neighbours are compared a few texts at a time, and copies across pieces still meet."""
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "concat('Text ', CAST(id DIV 700 AS STRING)) AS text")
+    rows = content_sort._sorted_rows(docs, "text", "doc_id", "largest", carry)
+    parts = rows.where("pos = 0").count()
+    assert rows.where("edge IS NOT NULL").count() > 2 * parts
+    assert rows.count() == 3000
+    if carry:
+        kept = content_sort.drop_duplicates(docs, keep="largest")
+        assert sorted(r.doc_id for r in kept.collect()) == [699, 1399, 2099, 2799, 2999]
+    else:
+        groups = content_sort.duplicate_groups(docs, keep="largest")
+        assert sorted(r.doc_id for r in groups.where("kept").collect()) == [699, 1399, 2099, 2799, 2999]

@@ -5,6 +5,7 @@ import corpus_pipeline
 import pytest
 
 from lexiband.llm import mixing, packing, queries, toxicity
+from lexiband.llm.common import BATCH_SETTING, small_batches
 
 from .test_simhash import brute_components
 
@@ -64,3 +65,37 @@ def test_operators_without_python_run_none(spark, name):
 def test_mixing_has_no_join_without_keys_and_reads_the_texts_once(spark, caplog):
     plan = queries.op1_mix_sources(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "text" not in plan
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """By default 10,000 rows at once: texts of 3,000 bytes took dozens of MB, several times over, in each task."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(BATCH_SETTING)
+            plan = stage(spark, docs.limit(20), "/root/testdata/sf0.001")
+            small = spark.conf.get(BATCH_SETTING) == "2m"
+            assert small == (name != "mix_sources"), name
+            assert plan.columns
+        spark.conf.unset(BATCH_SETTING)
+        small_batches(spark)
+
+        def counted(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+
+        texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 3000) AS text")
+        rows = [r.rows for r in texts.mapInArrow(counted, "rows BIGINT").collect()]
+        assert sum(rows) == 3000 and max(rows) < 1000
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
+def test_packing_remembers_fewer_words_here():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.encoder(path, corpus_pipeline.WORDS).words < packing.encoder(path).words
+    assert packing.encoder(path, corpus_pipeline.WORDS) is packing.encoder(path, corpus_pipeline.WORDS)

@@ -84,3 +84,12 @@ def test_an_id_of_many_texts_teaches_once(spark):
     docs = frame(spark, [*rows, *([(7, "zz again")] * 500)])
     kept_ = toxicity.learning_rows(docs, labelled(spark, marks), toxicity.learns(), "text", "doc_id", "toxic").collect()
     assert len({row["_id"] for row in kept_}) == len(kept_) <= 200
+
+
+def test_codes_are_remembered_up_to_a_bound():
+    codes = toxicity.Codes()
+    first = codes["word0"]
+    for i in range(120_000):
+        codes[f"word{i}"]
+    assert len(codes) <= 50_000
+    assert codes["word0"] == first
