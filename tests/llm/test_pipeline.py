@@ -67,13 +67,16 @@ def test_mixing_has_no_join_without_keys_and_reads_the_texts_once(spark, caplog)
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "text" not in plan
 
 
-def test_texts_go_to_python_in_small_batches(spark):
+def test_texts_go_to_python_in_small_batches(spark, tmp_path):
     """By default 10,000 rows at once: texts of 3,000 bytes took dozens of MB, several times over, in each task."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(i, f"some words {i} and more", "en", "web", 20) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id BIGINT, quality INT, toxic INT")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
     try:
         for name, stage in corpus_pipeline.STAGES:
             spark.conf.unset(BATCH_SETTING)
-            plan = stage(spark, docs.limit(20), "/root/testdata/sf0.001")
+            plan = stage(spark, docs, str(tmp_path))
             small = spark.conf.get(BATCH_SETTING) == "2m"
             assert small == (name != "mix_sources"), name
             assert plan.columns
